@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantagrid.llm import media, mixing, secrets
+from vantagrid.llm import fingerprints, lines, media, mixing, pii, secrets
 from vantagrid.llm.common import table
 
 
@@ -31,11 +31,30 @@ def with_span_digests(df: DataFrame, base: list[str]) -> DataFrame:
     return df.select("doc_id", *counts, F.sha2(joined(own), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_span_digests(pii.personal_spans(table(spark, sf_dir, "documents")), list(pii.KINDS[: pii.BASE]))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
     return with_span_digests(found, [r.name for r in secrets.RULES[: secrets.BASE]])
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.edited_texts(table(spark, sf_dir, "documents")).withColumn("edited_sketch", fingerprints.sketch(F.col("edited")))
+    own, other = F.col("sketch"), F.col("edited_sketch")
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(own).alias("fingerprint"),
+        fingerprints.as_text(other).alias("edited_fingerprint"),
+        fingerprints.likeness(own, other).alias("near_edited"),
+        fingerprints.likeness(own, F.col("next_sketch")).alias("near_next"),
+        fingerprints.containment(own, other).alias("kept_in_edited"),
+    )
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.with_copies(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return got.select("doc_id", "__vg.size", "__vg.source_size", "__vg.target", (F.col("__vg.size") * F.col("__vg.copies")).alias("taken"), "source", F.col("__vg.copies").alias("copies"))
@@ -45,11 +64,49 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored_texts(table(spark, sf_dir, "documents")).drop("tile")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", F.sha2("text", 256).alias("kept_sha256"), F.length("text").cast("long").alias("n_chars"), F.col("__vg.chunks").cast("long").alias("n_chunks_removed"), F.col("__vg.lines").cast("long").alias("n_lines_removed"))
+
+
+#: One key a chunk; equal chunks are compared as text, so no key is needed here.
+OP10_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents
+), hashed AS (
+  SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM lines
+), cuts AS (
+  SELECT *, CASE WHEN (coalesce(lag(h) OVER w, 0) * 31 + h) % 3 = 0 THEN 1 ELSE 0 END AS ends
+  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (
+  SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cuts
+), chunks AS (
+  SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
+         count(*) FILTER (WHERE regexp_matches(line, '[^ \t\r\f\v]')) AS solid
+  FROM numbered GROUP BY doc_id, c
+), judged AS (
+  SELECT *, solid >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) > 1 AS gone FROM chunks
+), kept AS (
+  SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '') AS text,
+         count(*) FILTER (WHERE gone) AS nc, coalesce(sum(n) FILTER (WHERE gone), 0) AS nl
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, sha256(k.text) AS kept_sha256, CAST(length(k.text) AS BIGINT) AS n_chars,
+       CAST(coalesce(k.nc, 0) AS BIGINT) AS n_chunks_removed, CAST(coalesce(k.nl, 0) AS BIGINT) AS n_lines_removed
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
+    "op6_fingerprints": op6_fingerprints,
     "op7_source_mix": op7_source_mix,
     "op8_media": op8_media,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_line_dedup": OP10_SQL,
+}
