@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantagrid.llm import fingerprints, lines, media, mixing, pii, secrets
+from vantagrid.llm import fingerprints, lines, media, mixing, neardup, pii, secrets
 from vantagrid.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_span_digests(found, [r.name for r in secrets.RULES[: secrets.BASE]])
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+    return got.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.edited_texts(table(spark, sf_dir, "documents")).withColumn("edited_sketch", fingerprints.sketch(F.col("edited")))
     own, other = F.col("sketch"), F.col("edited_sketch")
@@ -100,6 +105,7 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
+    "op5_near_dedup": op5_near_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_source_mix": op7_source_mix,
     "op8_media": op8_media,
