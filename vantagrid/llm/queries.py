@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantagrid.llm import fingerprints, lines, media, mixing, neardup, pii, secrets
+from vantagrid.llm import fingerprints, lines, media, mixing, neardup, pii, secrets, suffixes
 from vantagrid.llm.common import table
 
 
@@ -69,6 +69,11 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored_texts(table(spark, sf_dir, "documents")).drop("tile")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", F.sha2("text", 256).alias("kept_sha256"), F.length("text").cast("long").alias("n_chars"), F.col("__vg.chunks").cast("long").alias("n_chunks_removed"), F.col("__vg.lines").cast("long").alias("n_lines_removed"))
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_source_mix": op7_source_mix,
     "op8_media": op8_media,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
