@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantagrid.llm import fingerprints, lines, media, mixing, neardup, pii, secrets, suffixes
+from vantagrid.llm import fingerprints, lines, media, mixing, neardup, pieces, pii, secrets, suffixes, toxicity
 from vantagrid.llm.common import table
 
 
@@ -40,6 +40,19 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_span_digests(found, [r.name for r in secrets.RULES[: secrets.BASE]])
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    got = toxicity.scored(docs, model)
+    return got.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded and decoded again: ``decoded_sha256`` is the digest of the text."""
+    back = pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents")))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
     return got.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -110,6 +123,8 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
+    "op3_toxicity": op3_toxicity,
+    "op4_pieces": op4_pieces,
     "op5_near_dedup": op5_near_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_source_mix": op7_source_mix,
