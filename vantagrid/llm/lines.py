@@ -52,7 +52,7 @@ def chunks(text: Column) -> Column:
 
             return F.transform(F.sequence(F.lit(1), F.size(ends)), piece)
 
-        return let(chunk_ends(line_hashes(lines)), pieces)
+        return let(line_hashes(lines), lambda hashes: let(chunk_ends(hashes), pieces))
 
     return let(F.split(text, "\n", -1), cut)
 
