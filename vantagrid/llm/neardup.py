@@ -8,10 +8,10 @@ from the texts.
 
 Equal sets are one class from the start. Of the classes that share bands, each is
 first compared with the hub of each of its buckets, the class with the largest
-buckets, which settles groups of copies with one pair a class. Then every nominated
-pair of classes that are still in different components is compared; pairs within a
-component cannot change the result. No pair is skipped otherwise and no bucket is
-capped.
+buckets, which settles groups of copies with one pair a class. Classes that share a
+bucket share its hub; so then, hub by hub and in blocks of bounded size, all pairs of
+members that are still in different components are compared. Pairs within a component
+cannot change the result. No pair is skipped otherwise and no bucket is capped.
 
 Two sets of similarity 0.8 share no band with probability (1 - 0.8**8)**64 < 8e-6;
 the bitmap's bound rejects such a pair with probability < 1e-5.
@@ -43,6 +43,8 @@ BITS = 1024
 SIMILAR = 80
 #: Standard deviations by which a sketch may miss before a pair is rejected.
 MARGIN = 4.5
+#: Members of a hub that are compared with as many others in one task.
+BLOCK = 256
 #: Rows of ids that may be broadcast to pick texts out of a scan.
 PICKED = 500_000
 
@@ -151,6 +153,55 @@ def confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, similar: int, wor
     return found
 
 
+def _between(rows: DataFrame, shingle: int, similar: int, bound: int) -> DataFrame:
+    """Links between components in each pair of blocks of a hub's members; one task holds two blocks at most.
+
+    Sketches reject most pairs; the rest are counted on the full sets. Of links that
+    would join the same two components one is enough.
+    """
+    powers = Powers()
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        component = t.column("component").to_numpy()
+        if len(set(component.tolist())) < 2:
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        ids, own = t.column("id").to_numpy(), t.column("own").to_numpy()
+        low, high = key[1].as_py(), key[2].as_py()
+        bits = np.column_stack([t.column(w).to_numpy() for w in _WORDS]).view(U)
+        sets = shingle_sets(t.column("text").cast(pa.binary()).to_pylist(), shingle, powers)
+        size = np.array([len(x) for x in sets])
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        out_u, out_v, root = [], [], {c: c for c in component.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        for a in left.tolist():
+            near = right if low != high else right[right > a]
+            near = near[component[near] != component[a]]
+            if len(near):
+                near = near[np.bitwise_count(bits[near] ^ bits[a]).sum(axis=1, dtype=np.int64) <= bound]
+            # sizes alone rule out what is too unequal
+            near = near[100 * np.minimum(size[near], size[a]) >= similar * np.maximum(size[near], size[a])]
+            for b in near.tolist():
+                x, y = find(component[a]), find(component[b])
+                if x == y:
+                    continue
+                common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * common >= similar * (size[a] + size[b] - common):
+                    root[max(x, y)] = min(x, y)
+                    out_u.append(ids[a])
+                    out_v.append(ids[b])
+        return pa.table({"u": pa.array(out_u, pa.int64()), "v": pa.array(out_v, pa.int64())})
+
+    flat = rows.select("hub", "low", "high", "own", "id", "component", "text", *[F.col(f"s.{w}").alias(w) for w in _WORDS])
+    return flat.groupBy("hub", "low", "high").applyInArrow(run, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similar: int = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each input row."""
     work = Scratch(docs.sparkSession, "neardup")
@@ -176,15 +227,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similar: int = SIMILAR) -
     links = confirmed(docs, pairs, shingle, similar, work)
     groups = components(links, work)
 
-    # every nominated pair that could still join two components
-    placed = buckets.select("key", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = work.keep(placed)
-    open_ = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    rest = work.keep(placed.join(open_, "key").join(sketches, "id"))
-    a = rest.select("key", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("s").alias("su"))
-    b = rest.select("key", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("s").alias("sv"))
-    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("cu") < F.col("cv")) & (_apart("su", "sv") <= bound)).select("u", "v").distinct()
-    links = links.unionByName(confirmed(docs, pairs, shingle, similar, work))
+    # every nominated pair that could still join two components: both share the bucket's hub
+    members = buckets.join(hubs, "key").select("hub", "id").distinct()
+    placed = work.keep(members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    spread = placed.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    spread = spread.where("low < high").select("hub", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rest = placed.join(spread, "hub").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = work.keep(rest.select("hub", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "component"))
+    texts = _texts(docs, rest.select("id").distinct(), work).join(sketches, "id")
+    links = links.unionByName(work.keep(_between(rest.join(texts, "id"), shingle, similar, bound)))
     work.drop(rest, placed, buckets)
     groups = components(links, work)
 
@@ -192,3 +244,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similar: int = SIMILAR) -
     out = member.join(groups, "id", "left")
     own = F.when(F.col("n") > 0, F.coalesce("component", "id", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def representatives(docs: DataFrame, shingle: int = 5, similar: int = SIMILAR) -> DataFrame:
+    """The rows of ``docs`` that stand for their group: the least doc_id of each, and all rows in no group; columns unchanged.
+
+    Rows of equal doc_id stay or go together. Only the ids that go are matched with
+    the texts.
+    """
+    found = near_duplicates(docs, shingle, similar)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__vg_gone")).distinct()
+    gone = Scratch(docs.sparkSession, "gone").keep(gone)
+    gone = F.broadcast(gone) if small(gone, PICKED) else gone
+    return docs.join(gone, docs["doc_id"] == gone["__vg_gone"], "left_anti")
