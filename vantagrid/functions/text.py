@@ -12,6 +12,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 # A clip recedes if its distance grows by this ratio.
 RECESSION_RATIO = 5.0
@@ -88,7 +89,7 @@ def crop_window(x: Column, y: Column, w: Column, h: Column, width: Column, heigh
 def python_round(digits: int):
     """Python's rounding of a column of doubles: to nearest, exact ties to even."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def rounded(x: pd.Series) -> pd.Series:
         return x.map(lambda v: round(v, digits), na_action="ignore")
 
@@ -100,7 +101,7 @@ def label_line(class_id: int, x: int, y: int, w: int, h: int, width: int, height
     return f"{class_id} {(x + w / 2) / width:.6f} {(y + h / 2) / height:.6f} {w / width:.6f} {h / height:.6f}"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def label_text(boxes: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
     """The label file of each frame: a line for each box, nothing without boxes."""
     out = []
@@ -127,12 +128,12 @@ def scene_of(manifest: dict) -> str:
     return hashlib.sha256(canonical(parts).encode()).hexdigest()[:16]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def scene_identity(manifest_json: pd.Series) -> pd.Series:
     return manifest_json.map(lambda text: scene_of(json.loads(text)), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical_json(text: pd.Series) -> pd.Series:
     return text.map(lambda t: canonical(json.loads(t)), na_action="ignore")
 
