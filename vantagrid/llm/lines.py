@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vantagrid.llm.columns import let
-from vantagrid.llm.common import Scratch
+from vantagrid.llm.common import Scratch, small
 
 #: A chunk ends behind a line where the rolling hash of it and the line before is divisible by this.
 MODULUS = 3
+#: Keys of repeated chunks that may travel to the scan; beyond that chunks are shuffled to the keys.
+PICKED = 500_000
 #: Multiplier of the rolling hash, which looks at two lines.
 FACTOR = 31
 
@@ -76,7 +78,8 @@ def removals(docs: DataFrame, key_bits: int = 64) -> DataFrame:
     seen = work.keep(_occurrences(docs, key_bits).drop("chunk"))
     firsts = seen.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     firsts = work.keep(firsts.where("first < last").select("key", "first"))
-    repeated = _occurrences(docs, key_bits).join(firsts.select("key"), "key", "left_semi")
+    keys = F.broadcast(firsts.select("key")) if small(firsts, PICKED) else firsts.select("key").hint("merge")
+    repeated = _occurrences(docs, key_bits).join(keys, "key", "left_semi")
     texts = repeated.select("key", "chunk").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n_texts"))
     unlike = work.keep(texts.where("n_texts > 1").select("key"))
     sure = seen.join(firsts.join(unlike, "key", "left_anti"), "key").where(place != F.col("first")).select("doc_id", "mark", "at")
@@ -93,7 +96,8 @@ def deduplicated(docs: DataFrame, key_bits: int = 64) -> DataFrame:
     """``docs`` with repeated chunks gone from ``text``, and a struct column ``__vg``: chunks and lines removed."""
     lost = removals(docs, key_bits).select(F.col("doc_id").alias("__vg_id"), F.col("mark").alias("__vg_mark"), F.col("drop").alias("__vg_drop"))
     same = docs["doc_id"].eqNullSafe(F.col("__vg_id")) & (F.xxhash64(docs["text"]) == F.col("__vg_mark"))
-    out = docs.join(lost, same, "left")
+    # always by shuffle: the list of removals grows with the corpus
+    out = docs.join(lost.hint("merge"), same, "left")
 
     def rebuilt(all_chunks: Column) -> Column:
         kept = F.filter(all_chunks, lambda x, at: ~F.array_contains(F.col("__vg_drop"), at))
