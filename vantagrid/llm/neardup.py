@@ -67,7 +67,7 @@ def minhash(values: np.ndarray) -> np.ndarray:
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
     """(texts, bands) of 64-bit keys; different bands have different keys."""
-    bands = samples.reshape(len(samples), -1, ROWS).astype(U)
+    bands = samples.reshape(len(samples), SAMPLES // ROWS, ROWS).astype(U)
     return mix((mix(bands + U(1)) * _BAND_FACTORS[None]).sum(axis=2, dtype=U))
 
 
