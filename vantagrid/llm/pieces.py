@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +33,22 @@ from vantagrid.llm.common import bounded_batches, utf8
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Sign of a blank in pieces.
 BLANK = "▁"
-#: Rate of skipped merges, segmentations that a part may have at most, and parts a task remembers.
-DROPOUT, VARIANTS, REMEMBERED = 0.1, 4, 500_000
+#: Stands for the blank's sign where a text holds it; no word has a line end.
+SIGN = "\n"
+#: Rate of skipped merges, segmentations that a word may have at most, and words a task remembers.
+DROPOUT, VARIANTS, REMEMBERED = 0.1, 4, 600_000
 
-_M = (1 << 64) - 1
+#: Characters of a part up to which its agenda is a list.
+LONG = 48
+#: Rank of a pair that makes no piece.
+NONE = 1 << 30
+
+
+def skipped(key: int, place: int, rank: int, limit: int) -> bool:
+    """Whether the candidate of this rank at this place is dropped: a keyed hash of 30 bits under the limit."""
+    h = (key + place * 40503 + rank * 69621) & 0x3FFFFFFF
+    h = (h ^ (h >> 15)) * 0x2C1B3C6D & 0x3FFFFFFF
+    return (h ^ (h >> 13)) < limit
 
 
 class Vocabulary:
@@ -57,123 +70,237 @@ class Vocabulary:
                 self.byte_ids[value], self.bytes_of[i] = i, bytes([value])
             elif pieces[i] in self.ids:
                 self.bytes_of[i] = pieces[i].replace(BLANK, " ").encode()
-        if any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.ids):
-            raise ValueError("a piece crosses a blank or a line end")
+        self.sizes = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.blob = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        order_ids = np.array(order, np.int64)
+        self.id_of_rank = order_ids
+        pairs = {self.ids[p[:k]] << 15 | self.ids[p[k:]]: self.rank[p] for p in self.ids for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids}
+        self.pair_keys = np.array(sorted(pairs), np.int32)
+        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32)
+        self.char_ids = np.full(0x110000, -1, np.int32)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.char_ids[ord(p)] = i
+        if n > 1 << 15 or any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.ids):
+            raise ValueError("too many pieces, or a piece crosses a blank or a line end")
 
     def spelled(self, symbol: str) -> list[int]:
         return [self.byte_ids[b] for b in symbol.encode()]
 
-    def merged(self, part: str, key: int = 0, rate: float = 0.0) -> list[int]:
-        """Pieces of a part, blanks as BLANK."""
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece that two pieces make, NONE where they make none; padding is -1."""
+        key = (left << 15) | right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == key) & (left >= 0) & (right >= 0), self.pair_ranks[at], NONE)
+
+    def merged_all(self, parts: list[str], keys: list[int], limit: int) -> list[bytes]:
+        """``merged`` of many parts, as bytes of 32-bit numbers; parts of like length advance together."""
+        out: list[bytes] = [b""] * len(parts)
+        size = np.array([len(p) for p in parts], np.int64)
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.int32)
+        symbols, begin = self.char_ids[codes], np.cumsum(size) - size
+        odd = (size > LONG) | (np.add.reduceat(symbols < 0, begin) > 0)
+        for k in np.flatnonzero(odd).tolist():
+            out[k] = array("i", self.merged(parts[k], keys[k], limit)).tobytes()
+        even = np.flatnonzero(~odd)
+        even = even[np.argsort(size[even], kind="stable")]
+        key = np.array(keys, np.int64)
+        for at in range(0, len(even), 4096):
+            some = even[at : at + 4096]
+            width = int(size[some[-1]])
+            grid = begin[some][:, None] + np.arange(width)
+            inside = np.arange(width) < size[some][:, None]
+            block = np.where(inside, symbols[np.where(inside, grid, 0)], -1)
+            flat, counts = self._block(block, key[some], limit)
+            ends = np.cumsum(counts) * 4
+            data = flat.tobytes()
+            low = 0
+            for k, high in zip(some.tolist(), ends.tolist(), strict=True):
+                out[k] = data[low:high]
+                low = high
+        return out
+
+    def _block(self, symbols: np.ndarray, key: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """Merge every row of ``symbols`` to its end, one agenda entry of each row at a time."""
+        n, width = symbols.shape
+        final = symbols.copy()
+        if width > 1:
+            row, place = np.arange(n), np.tile(np.arange(width), (n, 1))
+            agenda = self.ranks(symbols[:, :-1], symbols[:, 1:])
+            across = np.arange(width)
+            while len(row):
+                at = agenda.argmin(axis=1)
+                here = np.arange(len(row))
+                best = agenda[here, at]
+                done = best == NONE
+                if done.any():
+                    final[row[done]] = symbols[done]
+                    go = ~done
+                    row, symbols, place, agenda, at, best = row[go], symbols[go], place[go], agenda[go], at[go], best[go]
+                    here = np.arange(len(row))
+                    if not len(row):
+                        break
+                if limit:
+                    h = (key[row] + place[here, at] * 40503 + best.astype(np.int64) * 69621) & 0x3FFFFFFF
+                    h = ((h ^ (h >> 15)) * 0x2C1B3C6D) & 0x3FFFFFFF
+                    skip = (h ^ (h >> 13)) < limit
+                    agenda[here[skip], at[skip]] = NONE
+                    go = np.flatnonzero(~skip)
+                    if not len(go):
+                        continue
+                else:
+                    go = here
+                i = at[go]
+                shift = np.minimum(across + (across > i[:, None]), width - 1)
+                moved = np.take_along_axis(symbols[go], shift, 1)
+                moved[:, -1] = -1
+                now = np.arange(len(go))
+                moved[now, i] = self.id_of_rank[best[go]]
+                symbols[go] = moved
+                place[go] = np.take_along_axis(place[go], shift, 1)
+                gap = np.minimum(across[:-1] + (across[:-1] >= i[:, None]), width - 2)
+                rest = np.take_along_axis(agenda[go], gap, 1)
+                rest[:, -1] = NONE
+                behind = i < width - 1
+                rest[now[behind], i[behind]] = self.ranks(moved[now[behind], i[behind]], moved[now[behind], i[behind] + 1])
+                front = i > 0
+                rest[now[front], i[front] - 1] = self.ranks(moved[now[front], i[front] - 1], moved[now[front], i[front]])
+                agenda[go] = rest
+        kept = final >= 0
+        return final[kept].astype(np.int32), kept.sum(axis=1)
+
+    def merged(self, part: str, key: int = 0, limit: int = 0) -> list[int]:
+        """Pieces of a part, blanks as BLANK; ``limit`` is the rate of skipped merges in 2**-30.
+
+        The agenda has an entry for each pair of neighbours: the rank of the piece they
+        make, or none.
+        """
+        if len(part) > LONG:
+            return self.merged_long(part, key, limit)
+        rank, none = self.rank.get, NONE
+        symbols, place = list(part), list(range(len(part)))
+        agenda = [rank(a + b, none) for a, b in zip(part, part[1:], strict=False)]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)
+            if limit:
+                h = (key + place[i] * 40503 + best * 69621) & 0x3FFFFFFF
+                h = (h ^ (h >> 15)) * 0x2C1B3C6D & 0x3FFFFFFF
+                if (h ^ (h >> 13)) < limit:
+                    agenda[i] = none
+                    continue
+            symbols[i] += symbols.pop(i + 1)
+            del place[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(symbols[i] + symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + symbols[i], none)
+        return self._numbered(symbols)
+
+    def merged_long(self, part: str, key: int, limit: int) -> list[int]:
+        """The same with a heap as agenda, for parts in which looking through a list would take too long."""
         symbols: list[str | None] = list(part)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        rank, agenda = self.rank, []
-        for i in range(n - 1):
-            r = rank.get(symbols[i] + symbols[i + 1])
-            if r is not None:
-                agenda.append((r, i, symbols[i], symbols[i + 1]))
+        agenda = [(r, i, part[i], part[i + 1]) for i in range(n - 1) if (r := self.rank.get(part[i : i + 2])) is not None]
         heapq.heapify(agenda)
-        limit = int(rate * (1 << 64))
         while agenda:
             r, i, left, right = heapq.heappop(agenda)
             j = after[i]
-            if symbols[i] != left or j < 0 or symbols[j] != right:
+            if symbols[i] != left or j < 0 or symbols[j] != right or limit and skipped(key, i, r, limit):
                 continue
-            if limit:
-                h = (key ^ (i * 0x9E3779B97F4A7C15) ^ (r * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93 & _M
-                if (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 & _M < limit:
-                    continue
-            symbols[i], symbols[j] = whole, _ = left + right, None
-            k = after[i] = after[j]
-            if k >= 0:
-                before[k] = i
-                r = rank.get(whole + symbols[k])
-                if r is not None:
-                    heapq.heappush(agenda, (r, i, whole, symbols[k]))
-            k = before[i]
-            if k >= 0:
-                r = rank.get(symbols[k] + whole)
-                if r is not None:
-                    heapq.heappush(agenda, (r, k, symbols[k], whole))
-        out: list[int] = []
-        for s in symbols:
-            if s is not None:
-                i = self.ids.get(s)
-                if i is None:
-                    out += self.spelled(s)
-                else:
-                    out.append(i)
+            symbols[i], symbols[j], after[i] = left + right, None, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b >= 0 and (r := self.rank.get(symbols[a] + symbols[b])) is not None:
+                    heapq.heappush(agenda, (r, a, symbols[a], symbols[b]))
+        return self._numbered([s for s in symbols if s is not None])
+
+    def _numbered(self, symbols: list[str]) -> list[int]:
+        get = self.ids.get
+        out = [get(s) for s in symbols]
+        if None in out:
+            out = [x for s, i in zip(symbols, out, strict=True) for x in (self.spelled(s) if i is None else (i,))]
         return out
 
+    def decoded_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """Texts of many lists of pieces, one behind the other in ``ids``."""
+        size = self.sizes[ids]
+        ends = np.cumsum(size)
+        data = self.blob[np.repeat(self.begins[ids] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        edges = np.concatenate([[0], ends])[offsets].tolist()
+        return [data[a + 1 : z].decode(errors="replace") for a, z in zip(edges, edges[1:], strict=False)]
+
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.bytes_of[i] for i in ids])[1:].decode(errors="replace")
 
 
-class _Parts(dict):
-    """Encodings of parts, as bytes of 32-bit numbers, for one variant; with or without a blank in front."""
-
-    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, rate: float, front: str):
-        super().__init__()
-        self.v, self.seed, self.rate, self.front = vocabulary, (seed * VARIANTS + variant) & 0xFFFFFFFF, rate, front
-
-    def __missing__(self, part: str) -> bytes:
-        whole = self.front + part
-        key = 0
-        if self.rate:
-            raw = whole.encode()
-            key = zlib.crc32(raw, self.seed) << 32 | zlib.crc32(raw, self.seed ^ 0xA5A5A5A5)
-        out = self[part] = np.array(self.v.merged(whole, key, self.rate), np.int32).tobytes()
-        return out
-
-
 class Encoder:
-    """Encodes texts, remembering parts; one for each task."""
+    """Encodes texts, remembering words; one for each task."""
 
     def __init__(self, vocabulary: Vocabulary, seed: int, rate: float):
-        self.v, self.seed, self.rate = vocabulary, seed, rate
-        self.end = np.array(vocabulary.spelled("\n"), np.int32).tobytes()
-        self.sign = np.array(vocabulary.spelled(BLANK), np.int32).tobytes()
+        self.v, self.seed, self.limit = vocabulary, seed & 0xFFFFFFFF, int(rate * (1 << 30))
+        self.variants = VARIANTS if rate else 1
+        self.end = array("i", vocabulary.spelled("\n")).tobytes()
+        self.sign = array("i", vocabulary.spelled(BLANK)).tobytes()
         self.forget()
 
     def forget(self) -> None:
-        n = VARIANTS if self.rate else 1
-        self.behind = [_Parts(self.v, self.seed, k, self.rate, BLANK) for k in range(n)]
-        self.plain = [_Parts(self.v, self.seed, k, self.rate, "") for k in range(n)]
-
-    def encode(self, text: str, key: int) -> bytes:
-        """The text's pieces as bytes of 32-bit numbers; ``key`` chooses the variant of its lines."""
-        if not text:
-            return b""
-        out: list[bytes] = []
-        n = len(self.behind)
-        at = zlib.crc32(b"%d" % key, self.seed & 0xFFFFFFFF)
+        #: Encodings of words by variant, with a blank in front and without.
+        self.behind: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.plain: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+
+    def _lines(self, text: str, key: int) -> list[tuple[int, list[str], list[str]]]:
+        """(variant, words without a blank in front, words with one) of each line; a literal sign of the blank ends a line for itself."""
+        at = zlib.crc32(b"%d" % key, self.seed)
+        out = []
         for k, line in enumerate(text.split("\n")):
-            variant = (at + k) % n
-            if k:
-                out.append(self.end)
+            variant = (at + k) % self.variants
             if BLANK in line or "  " in line or line[:1] == " " or line[-1:] == " ":
-                self._odd_line(line, k == 0, variant, out)
-                continue
-            words = line.split(" ")
-            if k == 0:
-                out.extend(map(self.behind[variant].__getitem__, words))
+                plain = []
+                for n, piece in enumerate(line.split(BLANK)):
+                    front = BLANK if k == 0 and n == 0 else ""
+                    plain += ([SIGN] if n else []) + re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", front + piece.replace(" ", BLANK))
+                out.append((variant, plain, []))
             else:
-                if words[0]:
-                    out.append(self.plain[variant][words[0]])
-                out.extend(map(self.behind[variant].__getitem__, words[1:]))
-        if sum(map(len, self.behind)) + sum(map(len, self.plain)) > REMEMBERED:
+                words = line.split(" ")
+                out.append((variant, [], words) if k == 0 else (variant, words[:1] if words[0] else [], words[1:]))
+        return out
+
+    def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
+        """Each text's pieces as bytes of 32-bit numbers; the keys choose the variants of their lines."""
+        if sum(map(len, self.behind + self.plain)) > REMEMBERED:
             self.forget()
-        return b"".join(out)
+        docs = [self._lines(t, k) if t else [] for t, k in zip(texts, keys, strict=True)]
+        for variant in range(self.variants):
+            for known, front, which in ((self.plain[variant], "", 1), (self.behind[variant], BLANK, 2)):
+                known[SIGN] = self.sign
+                fresh = {w for lines in docs for line in lines if line[0] == variant for w in line[which] if w not in known}
+                self._learn(known, sorted(fresh), front, variant)
+        out = []
+        for lines in docs:
+            found: list[bytes] = []
+            for k, (variant, plain, behind) in enumerate(lines):
+                if k:
+                    found.append(self.end)
+                found.extend(map(self.plain[variant].__getitem__, plain))
+                found.extend(map(self.behind[variant].__getitem__, behind))
+            out.append(b"".join(found))
+        return out
+
+    def _learn(self, known: dict[str, bytes], words: list[str], front: str, variant: int) -> None:
+        parts = [front + w for w in words]
+        seed = (self.seed * VARIANTS + variant) & 0xFFFFFFFF
+        keys = [zlib.crc32(p.encode(), seed) for p in parts] if self.limit else [0] * len(parts)
+        if parts:
+            known.update(zip(words, self.v.merged_all(parts, keys, self.limit), strict=True))
 
-    def _odd_line(self, line: str, first: bool, variant: int, out: list[bytes]) -> None:
-        """A line with runs of blanks, or with the blank's sign."""
-        for k, piece in enumerate(line.split(BLANK)):
-            if k:
-                out.append(self.sign)
-            front = BLANK if first and k == 0 else ""
-            for part in re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", front + piece.replace(" ", BLANK)):
-                out.append(self.plain[variant][part])
+    def encode(self, text: str, key: int) -> bytes:
+        return self.encode_all([text], [key])[0]
 
 
 def encoded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1, rate: float = DROPOUT, model: str = MODEL, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -185,7 +312,7 @@ def encoded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, seed, rate)
         for b in batches:
-            rows = [encoder.encode(t, -1 if i is None else i) for i, t in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True)]
+            rows = encoder.encode_all(b.column("text").to_pylist(), [-1 if i is None else i for i in b.column("id").to_pylist()])
             offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), ids], [*kept, "ids"])
@@ -202,7 +329,10 @@ def decoded(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [None if ids is None else vocabulary.decode(ids) for ids in b.column(1).to_pylist()]
+            ids = b.column(1)
+            offsets = ids.offsets.to_numpy()
+            got = vocabulary.decoded_all(ids.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0])
+            texts = [t if known else None for t, known in zip(got, ids.is_valid().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["id", "ids", "text"])
 
     bounded_batches(df.sparkSession)
