@@ -120,6 +120,29 @@ SELECT d.doc_id, sha256(k.text) AS kept_sha256, CAST(length(k.text) AS BIGINT) A
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
+#: All pairs that share a shingle, and all that is reachable over links.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents WHERE text IS NOT NULL
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT u, v FROM pairs JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)
+), ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach AS (
+  SELECT DISTINCT u AS a, u AS b FROM ways
+  UNION
+  SELECT a, v FROM reach JOIN ways ON b = u
+), root AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root.c, d.doc_id) AS component_id, coalesce(root.c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN root ON a = d.doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
@@ -135,5 +158,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op5_near_dedup": OP5_SQL,
     "op10_line_dedup": OP10_SQL,
 }
