@@ -346,3 +346,15 @@ def test_command_line(tmp_path, capsys):
     assert "convert-run_1-v002" in command and command[-6:] == ["--config", "c.yaml", "--run-id", "run_1", "--version", "v002"]
     with pytest.raises(SystemExit):
         cli.main(["nonsense"])
+
+
+def test_runs_as_a_data_source(spark, tmp_path):
+    from vantagrid.sources.runs import register
+
+    register(spark)
+    for run, manifest in (("a", MANIFEST | {"run_id": "a", "frame_count": 2, "seed": 5}), ("b", {"schema_version": 9}), ("c", None)):
+        (tmp_path / run).mkdir()
+        if manifest:
+            (tmp_path / run / "manifest.json").write_text(json.dumps(manifest, indent=2))
+    rows = {r.folder: r for r in spark.read.format("runs").load(str(tmp_path)).collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].seed == 5 and rows["a"].problem is None and "schema_version" in rows["b"].problem

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantagrid.functions import text
+from vantagrid.functions.tables import register
 from vantagrid.operators import pairing, qc, raster, runs
 
 THRESHOLD, SIDE, MIN_AREA = 140, 8, 4
@@ -294,6 +295,23 @@ def q_crop(spark, d):
     return got.withColumn("c", window).select("vec_id", "c.left", "c.top")
 
 
+def q_components_udtf(spark, d):
+    """The components once more, by the table function in SQL."""
+    register(spark)
+    rasters(spark, d).createOrReplaceTempView("vantagrid_rasters")
+    got = spark.sql(f"SELECT r.vec_id, c.x, c.y, c.w, c.h, c.mask_area FROM vantagrid_rasters r, LATERAL raster_components(r.pixels, r.width, {THRESHOLD}) c")
+    return got.select("vec_id", *[F.col(c).cast("long").alias(c) for c in ("x", "y", "w", "h", "mask_area")])
+
+
+def q_contrast_summary(spark, d):
+    """Contrast of the rasters' objects by label: boxes, share of faint ones, median over runs of the runs' medians."""
+    boxes = F.array(F.struct("contrast"))
+    seen = q_contrast(spark, d).select("vec_id", boxes.alias("boxes"))
+    rows = rasters(spark, d).select("vec_id", (F.col("label") % 3).alias("preset"), F.col("label").alias("run_id")).join(seen, "vec_id")
+    got = qc.contrast_summary(rows, ["preset"])
+    return got.select("preset", "boxes", F.round("faint_share", 6).alias("faint_share"), F.round("median_of_medians", 6).alias("median_of_medians"))
+
+
 def q_stream(spark, d):
     from vantagrid.streaming.trigger import counted_stream
 
@@ -303,8 +321,10 @@ def q_stream(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raster_binarize": q_binarize,
     "raster_components": q_components,
+    "raster_components_udtf": q_components_udtf,
     "raster_instances": q_instances,
     "raster_contrast": q_contrast,
+    "contrast_summary": q_contrast_summary,
     "qc_rollup": q_qc_rollup,
     "qc_flags": q_qc_flags,
     "flag_histogram": q_flag_histogram,
@@ -355,6 +375,13 @@ _ROLLUP = f"""{_INSTANCES}, b AS (SELECT label, boxes.*, a / CAST(w * h AS DOUBL
          CAST(min(w * h) AS INT) AS box_area_min, CAST(max(w * h) AS INT) AS box_area_max, min(fill) AS fill_ratio_min, max(fill) AS fill_ratio_max, count(a) AS contrast_unmeasured
   FROM b GROUP BY label)"""
 
+_CONTRAST = f"""{_PIXELS}, plane AS (SELECT vec_id, {SIDE * SIDE - 1} - p AS p, val AS g FROM px),
+ranked AS (SELECT *, rank() OVER (PARTITION BY vec_id ORDER BY val DESC) AS k, count(*) FILTER (WHERE val >= 160) OVER (PARTITION BY vec_id) AS strong FROM lit),
+core AS (SELECT vec_id, sum(g) AS s, count(*) AS n FROM ranked JOIN plane USING (vec_id, p) WHERE CASE WHEN strong >= 3 THEN val >= 160 ELSE k <= 3 END GROUP BY vec_id),
+ring AS (SELECT q.vec_id, sum(g) AS s, count(*) AS n FROM (SELECT DISTINCT a.vec_id, a.p FROM px a JOIN lit b ON a.vec_id = b.vec_id AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 WHERE a.val <= {THRESHOLD}) q JOIN plane USING (vec_id, p) GROUP BY q.vec_id),
+seen AS (SELECT vec_id, CAST(core.s AS BIGINT) AS core_sum, core.n AS core_n, CAST(ring.s AS BIGINT) AS ring_sum, ring.n AS ring_n,
+       CAST(core.s AS DOUBLE) / core.n - CAST(ring.s AS DOUBLE) / ring.n AS contrast FROM core JOIN ring USING (vec_id))"""
+
 _VAL = ", ".join(f"'{s}'" for s in _VAL_SOURCES)
 _SPLIT = f"sp AS (SELECT *, CASE WHEN source IN ({_VAL}) THEN 'val' ELSE 'train' END AS subset FROM documents)"
 
@@ -367,13 +394,13 @@ tw AS (SELECT a.run_id, arg_min(b.run_id, (b.tod, b.run_id)) AS twin FROM r a JO
 ORACLE_SQL: dict[str, str] = {
     "raster_binarize": f"WITH {_PIXELS} SELECT e.vec_id, count(l.p) AS n_lit, CAST(coalesce(sum(l.val), 0) AS BIGINT) AS lit_sum FROM embeddings e LEFT JOIN lit l USING (vec_id) GROUP BY e.vec_id",
     "raster_components": f"WITH RECURSIVE {_COMPONENTS} SELECT vec_id, min(x) AS x, min(y) AS y, max(x) - min(x) + 1 AS w, max(y) - min(y) + 1 AS h, count(*) AS mask_area FROM named GROUP BY vec_id, c",
+    "raster_components_udtf": f"WITH RECURSIVE {_COMPONENTS} SELECT vec_id, min(x) AS x, min(y) AS y, max(x) - min(x) + 1 AS w, max(y) - min(y) + 1 AS h, count(*) AS mask_area FROM named GROUP BY vec_id, c",
     "raster_instances": f"WITH RECURSIVE {_INSTANCES} SELECT vec_id, x, y, w, h, a AS mask_area, n AS components FROM boxes",
-    "raster_contrast": f"""WITH {_PIXELS}, plane AS (SELECT vec_id, {SIDE * SIDE - 1} - p AS p, val AS g FROM px),
-ranked AS (SELECT *, rank() OVER (PARTITION BY vec_id ORDER BY val DESC) AS k, count(*) FILTER (WHERE val >= 160) OVER (PARTITION BY vec_id) AS strong FROM lit),
-core AS (SELECT vec_id, sum(g) AS s, count(*) AS n FROM ranked JOIN plane USING (vec_id, p) WHERE CASE WHEN strong >= 3 THEN val >= 160 ELSE k <= 3 END GROUP BY vec_id),
-ring AS (SELECT q.vec_id, sum(g) AS s, count(*) AS n FROM (SELECT DISTINCT a.vec_id, a.p FROM px a JOIN lit b ON a.vec_id = b.vec_id AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 WHERE a.val <= {THRESHOLD}) q JOIN plane USING (vec_id, p) GROUP BY q.vec_id)
-SELECT vec_id, CAST(core.s AS BIGINT) AS core_sum, core.n AS core_n, CAST(ring.s AS BIGINT) AS ring_sum, ring.n AS ring_n,
-       CAST(core.s AS DOUBLE) / core.n - CAST(ring.s AS DOUBLE) / ring.n AS contrast FROM core JOIN ring USING (vec_id)""",
+    "raster_contrast": f"""WITH {_CONTRAST} SELECT * FROM seen""",
+    "contrast_summary": f"""WITH {_CONTRAST}, runs AS (
+  SELECT label % 3 AS preset, label, count(*) AS n, count(*) FILTER (WHERE abs(contrast) < 8.0) AS faint, median(contrast) AS m
+  FROM seen JOIN (SELECT vec_id, label FROM embeddings) USING (vec_id) GROUP BY 1, 2)
+SELECT preset, CAST(sum(n) AS BIGINT) AS boxes, round(CAST(sum(faint) AS DOUBLE) / sum(n), 6) AS faint_share, round(median(m), 6) AS median_of_medians FROM runs GROUP BY 1""",
     "qc_rollup": f"WITH RECURSIVE {_ROLLUP} SELECT * FROM rep",
     "qc_flags": f"WITH RECURSIVE {_REASONS} SELECT * FROM flags",
     "flag_histogram": f"WITH RECURSIVE {_REASONS} SELECT regexp_replace(reason, '[0-9]', 'N', 'g') AS shape, count(*) AS n FROM flags GROUP BY 1",
