@@ -9,6 +9,7 @@ placements are decided, placed, described, and committed by the manifest.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ def gather(spark: SparkSession, config: BuildConfig) -> DataFrame:
     last = F.element_at(F.split("path", "/"), -1)
 
     def there(store: Store, keys: list[str]) -> list[str]:
-        return [store.path(k) for k in keys if store.exists(k)]
+        with ThreadPoolExecutor(16) as pool:
+            return [store.path(k) for k, found in zip(keys, pool.map(store.exists, keys), strict=True) if found]
 
     def texts(paths: list[str]) -> DataFrame:
         return whole_texts(spark, paths) if paths else spark.createDataFrame([], "path string, text string")
