@@ -115,7 +115,7 @@ def scene(object_grey, back, alpha=255, rim=None):
         mask[39, 39:53], normal[39, 39:53] = rim
     m = raster.binarise(mask, 12)
     (box,) = raster.instances(m, 1)
-    return raster.contrast(raster.grey(normal), raster.coverage(mask), m, box)
+    return raster.contrast(normal, mask, m, box)
 
 
 def test_contrast_is_signed():
@@ -133,7 +133,7 @@ def test_without_full_coverage_the_most_covered_count():
     mask[40:52, 40:52], normal[40:52, 40:52] = 60, 120
     mask[40, 40:48], normal[40, 40:48] = 190, 90
     m = raster.binarise(mask, 12)
-    assert raster.contrast(raster.grey(normal), raster.coverage(mask), m, raster.instances(m, 1)[0]) == -60.0
+    assert raster.contrast(normal, mask, m, raster.instances(m, 1)[0]) == -60.0
 
 
 def test_neighbour_is_no_background():
@@ -141,13 +141,27 @@ def test_neighbour_is_no_background():
     mask[40:52, 40:52], normal[40:52, 40:52] = 255, 100
     mask[40:52, 56:68], normal[40:52, 56:68] = 255, 10
     m = raster.binarise(mask, 12)
-    assert raster.contrast(raster.grey(normal), raster.coverage(mask), m, Box(40, 40, 12, 12, 144)) == -50.0
+    assert raster.contrast(normal, mask, m, Box(40, 40, 12, 12, 144)) == -50.0
 
 
 def test_full_frame_cannot_be_measured():
     full = np.full((32, 32, 3), 255, np.uint8)
     m = raster.binarise(full, 12)
-    assert raster.contrast(raster.grey(full), raster.coverage(full), m, raster.instances(m, 1)[0]) is None
+    assert raster.contrast(full, full, m, raster.instances(m, 1)[0]) is None
+
+
+def test_contrast_near_the_object_is_that_of_the_whole_frame():
+    draw = np.random.default_rng(9)
+    for _ in range(40):
+        normal, mask = draw.integers(0, 256, (50, 60, 3), dtype=np.uint8), np.zeros((50, 60, 3), np.uint8)
+        y, x, h, w = draw.integers(0, 40), draw.integers(0, 50), draw.integers(1, 20), draw.integers(1, 20)
+        mask[y : y + h, x : x + w] = draw.integers(0, 256, mask[y : y + h, x : x + w].shape)
+        m = raster.binarise(mask, 32)
+        for box in raster.instances(m, 1):
+            maps = raster.sampled(raster.coverage(mask), m, box)
+            plane = raster.grey(normal)
+            want = None if maps is None else float(plane[maps[0]].mean() - plane[maps[1]].mean())
+            assert raster.contrast(normal, mask, m, box) == want
 
 
 def test_ring_reaches_half_its_width():

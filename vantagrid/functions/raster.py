@@ -42,7 +42,12 @@ def metric_settings() -> dict[str, int]:
 
 def coverage(mask: np.ndarray) -> np.ndarray:
     """Strongest of the colour channels at each pixel."""
-    return mask if mask.ndim == 2 else mask[:, :, :3].max(axis=2)
+    if mask.ndim == 2:
+        return mask
+    out = mask[:, :, 0]
+    for k in range(1, min(mask.shape[2], 3)):
+        out = np.maximum(out, mask[:, :, k])
+    return out
 
 
 def binarise(mask: np.ndarray, threshold: int) -> np.ndarray:
@@ -147,10 +152,21 @@ def sampled(alpha: np.ndarray, lit: np.ndarray, box: Box, core_alpha: int = CORE
     return (core, ring) if ring.any() else None
 
 
-def contrast(plane: np.ndarray, alpha: np.ndarray, lit: np.ndarray, box: Box) -> float | None:
-    """Mean of the core less mean of the ring, signed; None where it cannot be measured."""
-    maps = sampled(alpha, lit, box)
-    return None if maps is None else float(plane[maps[0]].mean() - plane[maps[1]].mean())
+def contrast(image: np.ndarray, mask: np.ndarray, lit: np.ndarray, box: Box) -> float | None:
+    """Mean of the core less mean of the ring, signed; None where it cannot be measured.
+
+    Only the box and the ring's reach around it are looked at, so the cost follows the
+    object's size and not the frame's.
+    """
+    reach = RING_PX // 2
+    top, left = max(box.y - reach, 0), max(box.x - reach, 0)
+    near = (slice(top, box.y + box.h + reach), slice(left, box.x + box.w + reach))
+    own = Box(box.x - left, box.y - top, box.w, box.h, box.mask_area, box.components)
+    maps = sampled(coverage(mask[near]), lit[near], own)
+    if maps is None:
+        return None
+    plane = grey(image[near])
+    return float(plane[maps[0]].mean() - plane[maps[1]].mean())
 
 
 def sky_tint(image: np.ndarray, rows: int = 300) -> float:

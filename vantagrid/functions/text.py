@@ -18,6 +18,9 @@ from pyspark.sql.types import DoubleType, StringType
 RECESSION_RATIO = 5.0
 
 
+# Fixed values in the functions below: the patterns of file names, keys and run names.
+
+
 def stem(name: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(name, "/"), -1), r"(?<=.)\.[^.]*$", "")
 

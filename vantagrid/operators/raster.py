@@ -109,7 +109,7 @@ def _annotated(row: dict, threshold: int, min_box_area: int, class_id: int) -> d
     lit = raster.binarise(mask, threshold)
     boxes = []
     for box in raster.instances(lit, min_box_area):
-        seen = raster.contrast(raster.grey(normal), raster.coverage(mask), lit, box)
+        seen = raster.contrast(normal, mask, lit, box)
         boxes.append(
             {
                 "class_id": class_id,
