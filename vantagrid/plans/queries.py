@@ -240,7 +240,7 @@ def q_key_parse(spark, d):
 
 
 def q_prune(spark, d):
-    doomed = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.concat(F.lit("run_"), F.col("c_custkey").cast("string")).alias("run_id"))
+    doomed = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.concat(F.lit("run_"), F.col("c_custkey").cast("string")).alias("run_id"))
     return runs.owned_keys(_keys(spark, d), doomed)
 
 
@@ -441,7 +441,7 @@ FROM (SELECT user_id, arg_min(value, (ts, event_id)) AS f, arg_max(value, (ts, e
     "host_counts": "SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS prefix, count(*) AS n FROM pages GROUP BY 1 HAVING prefix <> ''",
     "key_parse": rf"WITH {_KEYS} SELECT event_id, regexp_extract(key, '^raw/([^/]*)/manifest\.json$', 1) AS run_id, 'auto-' || regexp_extract(key, '^raw/([^/]*)/manifest\.json$', 1) AS version FROM keys WHERE regexp_matches(key, '^raw/[^/]*/manifest\.json$')",
     "prune_semi_join": rf"""WITH {_KEYS}, o AS (SELECT DISTINCT regexp_extract(key, '^(?:raw/|qc/|datasets/auto-)([^/]+)/', 1) AS run_id, key FROM keys)
-SELECT run_id, key FROM o WHERE run_id IN (SELECT 'run_' || c_custkey FROM customer WHERE c_custkey % 3 = 0)""",
+SELECT run_id, key FROM o WHERE run_id IN (SELECT 'run_' || c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
     "object_counts": rf"""WITH {_KEYS}, o AS (SELECT regexp_extract(key, '^(?:raw/|qc/|datasets/auto-)([^/]+)/', 1) AS run_id, string_split(key, '/')[1] AS area FROM keys)
 SELECT r.run_id, count(*) FILTER (WHERE area = 'raw') AS raw, count(*) FILTER (WHERE area = 'datasets') AS dataset, count(*) FILTER (WHERE area = 'qc') AS qc,
   count(*) FILTER (WHERE area = 'raw') = 22 AND count(*) FILTER (WHERE area = 'datasets') = 2 AND count(*) FILTER (WHERE area = 'qc') = 11 AS complete
