@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from shared_rows import ODD, SMALL
 
-from vantagrid.llm import components, lines, neardup, queries, suffixes
+from vantagrid.llm import components, lines, neardup, oracle, queries, suffixes
 from vantagrid.llm.common import Scratch
 from vantagrid.llm.hashing import Powers, shingle_sets
 
@@ -55,14 +55,14 @@ def test_near_dedup_of_whole_table(spark, corpus):
     assert got == {i: (root[i], size[i], root[i] == i) for i in corpus}
 
 
-@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE_SQL))
 def test_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
     df = queries.QUERIES[name](spark, SMALL)
-    result = con.execute(queries.ORACLE_SQL[name])
+    result = con.execute(oracle.ORACLE_SQL[name])
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(df.columns)
     assert sorted(tuple(r[c] for c in columns) for r in df.collect()) == sorted(result.fetchall())

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from vantagrid.llm import pii, queries, secrets
 from vantagrid.llm.dfa import compile_rules
+from vantagrid.llm.oracle import ORACLE_SQL
 
 EMAIL, IP = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD, PHONE = r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"
@@ -100,6 +101,30 @@ def test_terms_that_give_an_entity_away(spark, documents):
     assert "[EMAIL]" in clean[0] and "Zorblatt" not in clean[0] and "report" in clean[0] and clean[20] is None
 
 
+def test_terms_against_sql(spark, sf_dir):
+    import duckdb
+
+    draw = np.random.default_rng(6)
+    names = [f"{a}{b}" for a in ("Zor", "quil", "Ébra") for b in ("blatt", "ham", "nös")]
+    rows = []
+    for k in range(300):
+        who = draw.integers(0, 9)
+        words = [names[j] for j in draw.integers(3, 9, 2) if draw.random() < 0.3] + ["the"] * 3 + ["report"] * 2
+        draw.shuffle(words)
+        mail = [f"a{who}@b.cd", f"10.0.0.{who}", "+49 30 901820 11"][int(draw.random() * 1.2 + who % 2)]
+        line = f"{' '.join(words[:4])} {names[who]}, {mail} {' '.join(words[4:])}"
+        rows.append((k, line + "\nand " + line if k % 3 else line))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    df = queries.op1_pii(spark, sf_dir(rows))
+    result = con.execute(ORACLE_SQL["op1_pii"])
+    columns = [c[0] for c in result.description]
+    got = sorted(tuple(r[c] for c in columns) for r in df.collect())
+    assert got == sorted(result.fetchall())
+    assert {p.split(":")[0] for r in got for p in r[-1].split(",")} >= {"email", "remove", "general"}
+
+
 def test_added_secret_kinds(spark, documents):
     text = "-----BEGIN RSA PRIVATE KEY----- ghp_" + "a1B2" * 9 + " xoxb-1234567890-abc eyJhbGciOiJI.eyJzdWIiOiIx.abcdefgh_-1"
     kinds = [s.kind for s in secrets.secret_spans(documents([(1, text)])).first().spans]

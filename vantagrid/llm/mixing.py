@@ -83,13 +83,10 @@ def pareto_rank(uniform: Column, rate: Column) -> Column:
     return F.when((rate > 0) & (rate < 1), F.floor(odds / (1 + odds) * F.lit(float(1 << RANK_BITS))).cast("long"))
 
 
-def uniform_of(seed: int, doc_id: Column, mark: Column) -> Column:
-    """In (0, 1), from the document's id and text alone, so that reruns agree."""
-    return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id, mark), 11) + 0.5) / float(1 << 53)
-
-
-def uniform(seed: int) -> Column:
-    return uniform_of(seed, F.col("doc_id"), F.col("mark"))
+def uniform(seed: int, doc_id: Column, text: Column) -> Column:
+    """In (0, 1), from the document's id and text alone, so that reruns agree: 48 bits of a digest."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), doc_id.cast("string"), F.md5(text)))
+    return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
 def with_copies(docs: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -> DataFrame:
@@ -100,15 +97,15 @@ def with_copies(docs: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS
     already holds.
     """
     work = Scratch(docs.sparkSession, "mixing")
-    sized = work.keep(docs.select("doc_id", "source", size_of(utf8()).alias("size"), F.xxhash64("text").alias("mark")))
+    sized = work.keep(docs.select("source", size_of(utf8()).alias("size"), uniform(seed, docs["doc_id"], docs["text"]).alias("drawn")))
     targets = work.keep(source_targets(sized, weights).coalesce(1))
     ranked = sized.join(F.broadcast(targets), sized.source.eqNullSafe(targets.source)).drop(targets.source)
-    ranked = work.keep(ranked.withColumn("rank", F.when(F.col("size") > 0, pareto_rank(uniform(seed), F.col("rate")))))
+    ranked = work.keep(ranked.withColumn("rank", F.when(F.col("size") > 0, pareto_rank(F.col("drawn"), F.col("rate")))))
     cuts = rank_cuts(ranked, work)
     plan = targets.join(F.broadcast(cuts), targets.source.eqNullSafe(cuts.cut_source), "left")
     plan = plan.select(F.struct("source", "source_size", "target", "whole", "rate", "cut").alias("__vg_plan"))
     out = docs.withColumn("__vg_size", size_of(utf8())).join(F.broadcast(plan), docs["source"].eqNullSafe(F.col("__vg_plan.source")))
-    drawn = uniform_of(seed, docs["doc_id"], F.xxhash64(docs["text"]))
+    drawn = uniform(seed, docs["doc_id"], docs["text"])
     rank = F.when(F.col("__vg_size") > 0, pareto_rank(drawn, F.col("__vg_plan.rate")))
     extra = F.coalesce((rank <= F.col("__vg_plan.cut")).cast("int"), F.lit(0))
     copies = F.when(F.col("__vg_size") > 0, F.col("__vg_plan.whole") + extra).otherwise(0)

@@ -92,57 +92,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.sha2("text", 256).alias("kept_sha256"), F.length("text").cast("long").alias("n_chars"), F.col("__vg.chunks").cast("long").alias("n_chunks_removed"), F.col("__vg.lines").cast("long").alias("n_lines_removed"))
 
 
-#: One key a chunk; equal chunks are compared as text, so no key is needed here.
-OP10_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
-  FROM documents
-), hashed AS (
-  SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM lines
-), cuts AS (
-  SELECT *, CASE WHEN (coalesce(lag(h) OVER w, 0) * 31 + h) % 3 = 0 THEN 1 ELSE 0 END AS ends
-  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-), numbered AS (
-  SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cuts
-), chunks AS (
-  SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
-         count(*) FILTER (WHERE regexp_matches(line, '[^ \t\r\f\v]')) AS solid
-  FROM numbered GROUP BY doc_id, c
-), judged AS (
-  SELECT *, solid >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) > 1 AS gone FROM chunks
-), kept AS (
-  SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '') AS text,
-         count(*) FILTER (WHERE gone) AS nc, coalesce(sum(n) FILTER (WHERE gone), 0) AS nl
-  FROM judged GROUP BY doc_id
-)
-SELECT d.doc_id, sha256(k.text) AS kept_sha256, CAST(length(k.text) AS BIGINT) AS n_chars,
-       CAST(coalesce(k.nc, 0) AS BIGINT) AS n_chunks_removed, CAST(coalesce(k.nl, 0) AS BIGINT) AS n_lines_removed
-FROM documents d LEFT JOIN kept k USING (doc_id)
-"""
-
-#: All pairs that share a shingle, and all that is reachable over links.
-OP5_SQL = r"""
-WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
-  FROM documents WHERE text IS NOT NULL
-), s AS (
-  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g
-  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
-), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
-), pairs AS (
-  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
-), links AS (
-  SELECT u, v FROM pairs JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)
-), ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links
-), reach AS (
-  SELECT DISTINCT u AS a, u AS b FROM ways
-  UNION
-  SELECT a, v FROM reach JOIN ways ON b = u
-), root AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root.c, d.doc_id) AS component_id, coalesce(root.c, d.doc_id) = d.doc_id AS kept
-FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN root ON a = d.doc_id
-"""
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
@@ -155,9 +104,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
-
-#: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {
-    "op5_near_dedup": OP5_SQL,
-    "op10_line_dedup": OP10_SQL,
-}
