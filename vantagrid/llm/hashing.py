@@ -68,8 +68,23 @@ def word_hashes(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndar
     return hashes, np.diff(np.searchsorted(start, begins))
 
 
-def shingle_sets(texts: list[bytes], size: int, powers: Powers) -> list[np.ndarray]:
-    """Each text's distinct shingles of ``size`` words as sorted 64-bit hashes; all its words where there are fewer."""
+def shingle_sets(texts: list[bytes], size: int, powers: Powers, together: int = 1 << 20) -> list[np.ndarray]:
+    """Each text's distinct shingles of ``size`` words as sorted 64-bit hashes; all its words where there are fewer.
+
+    About ``together`` bytes of texts are hashed at a time.
+    """
+    out: list[np.ndarray] = []
+    at = 0
+    while at < len(texts):
+        room, low = together, at
+        while at < len(texts) and (at == low or room > 0):
+            room -= len(texts[at])
+            at += 1
+        out += _shingle_sets(texts[low:at], size, powers)
+    return out
+
+
+def _shingle_sets(texts: list[bytes], size: int, powers: Powers) -> list[np.ndarray]:
     words, counts = word_hashes(texts, powers)
     odd = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93), U(0x85EBCA77C2B2AE63)]
     run = np.zeros(max(len(words) - size + 1, 0), U)

@@ -43,6 +43,8 @@ TOXIC, CLEAN, SHORTEST, LANDMARK, LONGEST = 20, 2, 5, 8, 24
 EVIDENCE = 24
 #: Labelled documents of each class that a model is trained on, at most.
 SAMPLE = 1200
+#: Landmarks that begin with the same so many characters, at most.
+STEM, ALIKE = 6, 2
 #: Words whose features a task remembers.
 REMEMBERED = 150_000
 #: From this score on a document counts as toxic.
@@ -139,7 +141,17 @@ class Features:
         return np.minimum(np.maximum.reduceat(out, begins, axis=0) / self.scale, 1) if len(words) else out
 
     def sentences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Features of every sentence that has words, and each text's number of sentences."""
+        """Features of every sentence that has words, and each text's number of sentences; a few texts at a time."""
+        parts, at = [(np.zeros((0, len(self.landmarks)), np.float32), np.zeros(0, np.int64))], 0
+        while at < len(texts):
+            size, low = 0, at
+            while at < len(texts) and (at == low or size < 1 << 20):
+                size += len(texts[at])
+                at += 1
+            parts.append(self._sentences(texts[low:at]))
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _sentences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.rows) > REMEMBERED:
             self.forget()
         tokens: list[str] = []
@@ -177,19 +189,21 @@ class Features:
 
 def one_of_each(texts: list[str]) -> list[str]:
     """Texts without near copies of earlier ones, so that a family of copies counts once: those that share under a third of their rarer tokens."""
-    own = [set(t.lower().split()) for t in texts]
-    seen = Counter(w for x in own for w in x)
+    seen = Counter[str]()
+    for t in texts:
+        seen.update(set(t.lower().split()))
     rare = max(3, len(texts) // 50)
     held: dict[str, list[int]] = {}
     out = []
-    for k, x in enumerate(own):
-        mine = [w for w in x if seen[w] <= rare]
+    for k, t in enumerate(texts):
+        mine = [w for w in set(t.lower().split()) if seen[w] <= rare]
         shared = Counter(o for w in mine for o in held.get(w, ()))
         if mine and max(shared.values(), default=0) * 3 >= len(mine):
             continue
-        out.append(texts[k])
+        out.append(t)
         for w in mine:
-            held.setdefault(w, []).append(k)
+            if seen[w] > 1:
+                held.setdefault(w, []).append(k)
     return out
 
 
@@ -227,15 +241,16 @@ def choose_landmarks(toxic: list[str], clean: list[str]) -> list[str]:
     for k, t in enumerate(toxic):
         for s in strings(t) & keep:
             holds[s].append(k)
-    fresh, out = np.ones(n1), []
+    fresh, out, begun = np.ones(n1), [], Counter[str]()
     rest = {s: np.array(h) for s, h in holds.items()}
     while rest and len(out) < TOXIC:
         gain = {s: worth[s] * fresh[h].sum() / len(h) for s, h in rest.items()}
         best = max(gain, key=lambda s: (gain[s], len(s), s))
         out.append(best)
         fresh[rest.pop(best)] *= 0.3
-        # pieces of a landmark, and strings around it, say the same
-        rest = {s: h for s, h in rest.items() if not (s in best or best in s)}
+        # pieces of a landmark, and strings around it, say the same; of strings that begin alike a few are enough
+        begun[best[:STEM]] += 1
+        rest = {s: h for s, h in rest.items() if not (s in best or best in s) and begun[s[:STEM]] < ALIKE}
     common = Counter(w for t in clean for w in {shaped(x) for x in t.lower().split()} if SHORTEST <= len(w) <= LANDMARK)
     return out + [w for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0])) if w not in out][:CLEAN]
 
