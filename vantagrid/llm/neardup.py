@@ -43,8 +43,8 @@ BITS = 1024
 SIMILAR = 80
 #: Standard deviations by which a sketch may miss before a pair is rejected.
 MARGIN = 4.5
-#: Members of a hub that are compared with as many others in one task.
-BLOCK = 256
+#: Members of a hub that are compared with as many others in one task, and the shingles they may have together.
+BLOCK, BLOCK_SHINGLES = 256, 4_000_000
 #: Rows of ids that may be broadcast to pick texts out of a scan.
 PICKED = 500_000
 
@@ -209,12 +209,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similar: int = SIMILAR) -
     marks = work.keep(signatures(docs, shingle))
     full = marks.where("n > 0")
     classes = work.keep(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("id")))
-    sketches = full.join(classes.select("id", "h1", "h2"), ["h1", "h2"]).where("doc_id = id").select("id", F.struct(*_WORDS).alias("s"), "bands")
+    sketches = full.join(classes.select("id", "h1", "h2"), ["h1", "h2"]).where("doc_id = id").select("id", "n", F.struct(*_WORDS).alias("s"), "bands")
     sketches = work.keep(sketches)
     banded = sketches.select("id", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     buckets = work.keep(banded.join(shared, "key").distinct())
-    sketches = sketches.select("id", "s")
+    weights, sketches = sketches.select("id", "n"), sketches.select("id", "s")
     bound = most_bits(similar / 100)
 
     # every class with the hub of each of its buckets
@@ -229,9 +229,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similar: int = SIMILAR) -
 
     # every nominated pair that could still join two components: both share the bucket's hub
     members = buckets.join(hubs, "key").select("hub", "id").distinct()
-    placed = work.keep(members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id")))
-    spread = placed.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    spread = spread.where("low < high").select("hub", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(weights, "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = work.keep(placed)
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    spread = placed.groupBy("hub").agg(blocks.alias("blocks"), F.min("component").alias("low"), F.max("component").alias("high"))
+    spread = spread.where("low < high").select("hub", "blocks")
     rest = placed.join(spread, "hub").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = work.keep(rest.select("hub", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "component"))

@@ -99,7 +99,6 @@ def rows(t: Table, pick: np.ndarray) -> Table:
 
 PLACE = ("id", "mark", "start")
 STRETCH = ("anchor", "content", *PLACE, "windows", "lead")
-SPAN = (*PLACE, "end")
 
 
 def changes(*columns: np.ndarray) -> np.ndarray:
