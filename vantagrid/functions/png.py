@@ -24,7 +24,7 @@ def encode(image: np.ndarray) -> bytes:
     lines = np.zeros((height, width * channels + 1), np.uint8)
     lines[:, 1:] = image.reshape(height, -1)
     head = struct.pack(">IIBBBBB", width, height, 8, _KINDS[channels], 0, 0, 0)
-    return _SIGN + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + _chunk(b"IEND", b"")
+    return _SIGN + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), 1)) + _chunk(b"IEND", b"")
 
 
 def size(data: bytes) -> tuple[int, int]:
