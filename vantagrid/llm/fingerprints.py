@@ -14,6 +14,8 @@ results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -93,37 +95,38 @@ def _next_firsts(firsts: DataFrame, key: str = "part") -> DataFrame:
     return above.withColumn("inner", inner).join(tails, "above").select(key, F.coalesce("inner", "beyond").alias("next_first"))
 
 
-def with_next(rows: DataFrame, carried: str) -> DataFrame:
-    """``rows`` (doc_id, text, ...) with ``next``, the ``carried`` column of the next row by (doc_id, text); the first's after the last.
+def with_next(rows: DataFrame, carry: Callable[[Column], Column]) -> DataFrame:
+    """``rows`` (doc_id, text) as (doc_id, own, next): ``carry`` of the own text and of the next row's by (doc_id, text); the first's after the last.
 
     Rows are ordered within spans of ids. Each span also gets a copy of the first row
     of the next span that has rows, so no order over the whole table is needed. Null
     ids come first.
     """
     lowest = -(1 << 62)
-    keyed = rows.withColumn("order", F.coalesce("doc_id", F.lit(lowest))).withColumn("part", F.floor(F.col("order") / SPAN).cast("long"))
+    keyed = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(lowest)).alias("order"))
+    keyed = keyed.withColumn("part", F.floor(F.col("order") / SPAN).cast("long"))
     firsts = keyed.groupBy("part").agg(F.min("order").alias("first"))
     following = _next_firsts(firsts)
     start = firsts.agg(F.min("first").alias("start"))
     following = following.crossJoin(F.broadcast(start)).select(F.col("part").alias("into"), F.coalesce("next_first", "start").alias("first"))
     if small(following, ONE_TASK):
         following = F.broadcast(following)
-    guests = keyed.join(following, keyed["order"] == F.col("first"))
-    guests = guests.groupBy("into").agg(F.min_by(carried, F.struct("text")).alias(carried))
-    own = keyed.withColumn("guest", F.lit(False))
-    blank = [F.lit(None).cast(keyed.schema[c].dataType).alias(c) for c in keyed.columns if c not in ("part", carried)]
-    guest = guests.select(*blank, F.col("into").alias("part"), carried, F.lit(True).alias("guest"))
-    order = Window.partitionBy("part").orderBy("guest", "order", "text")
-    both = own.unionByName(guest).withColumn("next", F.lead(carried).over(order))
-    return both.where(~F.col("guest")).drop("guest", "order", "part")
+    guests = keyed.join(following, keyed["order"] == F.col("first")).groupBy("into").agg(F.min("text").alias("text"))
+    null = F.lit(None).cast("long")
+    guests = guests.select(null.alias("doc_id"), "text", null.alias("order"), F.col("into").alias("part"), F.lit(True).alias("guest"))
+    both = keyed.withColumn("guest", F.lit(False)).unionByName(guests)
+    # from here on the text travels within what is carried, once
+    carried = both.select("doc_id", "order", "part", "guest", carry(F.col("text")).alias("own"))
+    order = Window.partitionBy("part").orderBy("guest", "order", "own.text")
+    return carried.withColumn("next", F.lead("own").over(order)).where(~F.col("guest")).select("doc_id", "own", "next")
 
 
 def edited_texts(df: DataFrame) -> DataFrame:
     """(doc_id, text, sketch, edited, next_sketch): the last quarter of each text replaced by the next text's begin."""
-    rows = df.select(df["doc_id"], utf8().alias("text"))
-    rows = rows.withColumn("both", F.struct("text", sketch(F.col("text")).alias("sketch")))
-    linked = with_next(rows.select("doc_id", "text", "both"), "both")
-    n = F.length("text")
+    rows = df.select(df["doc_id"].cast("long").alias("doc_id"), utf8().alias("text"))
+    linked = with_next(rows, lambda text: F.struct(text.alias("text"), sketch(text).alias("sketch")))
+    text = F.col("own.text")
+    n = F.length(text)
     cut = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substr(F.col("text"), F.lit(1), n - cut), F.substr(F.col("next.text"), F.lit(1), cut))
-    return linked.select("doc_id", "text", F.col("both.sketch").alias("sketch"), edited.alias("edited"), F.col("next.sketch").alias("next_sketch"))
+    edited = F.concat(F.substr(text, F.lit(1), n - cut), F.substr(F.col("next.text"), F.lit(1), cut))
+    return linked.select("doc_id", text.alias("text"), F.col("own.sketch").alias("sketch"), edited.alias("edited"), F.col("next.sketch").alias("next_sketch"))
