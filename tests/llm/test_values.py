@@ -29,7 +29,12 @@ def sketched(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     if not words:
         return []
-    hashes = {xxhash.xxh64(" ".join(words[i : i + 5]).encode(), seed=42).intdigest() for i in range(max(1, len(words) - 4))}
+    hashes = set()
+    for i in range(max(1, len(words) - 4)):
+        h = 42
+        for w in words[i : i + 5]:
+            h = xxhash.xxh64(w.encode(), seed=h).intdigest()
+        hashes.add(h)
     kept = sorted(h for h in hashes if h >> 61 == 0)
     return kept or [min(hashes, key=lambda h: h - (1 << 64) if h >> 63 else h)]
 

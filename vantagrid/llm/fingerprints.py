@@ -36,10 +36,11 @@ def words_of(text: Column) -> Column:
 
 
 def shingle_hashes(words: Column, size: int = SHINGLE) -> Column:
-    """A hash of each run of ``size`` words, joined by a blank; of all words where there are fewer."""
+    """A hash of each run of ``size`` words, of all words where there are fewer; each word's hash is the next one's seed."""
 
     def one(at: Column) -> Column:
-        return F.xxhash64(F.array_join(F.slice(words, at, size), " "))
+        # beyond the last word there is null, which leaves the hash as it is
+        return F.xxhash64(*[F.get(words, at - 1 + k) for k in range(size)])
 
     last = F.greatest(F.size(words) - size + 1, F.lit(1))
     return F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(1), last), one)).otherwise(F.array().cast("array<bigint>"))
