@@ -97,14 +97,14 @@ def _next_firsts(firsts: DataFrame, key: str = "part") -> DataFrame:
 
 
 def with_next(rows: DataFrame, carry: Callable[[Column], Column]) -> DataFrame:
-    """``rows`` (doc_id, text) as (doc_id, own, next): ``carry`` of the own text and of the next row's by (doc_id, text); the first's after the last.
+    """``rows`` (doc_id, text) as (doc_id, own, next): ``carry`` of the own text and of the next row's by (doc_id, text hash); the first's after the last.
 
     Rows are ordered within spans of ids. Each span also gets a copy of the first row
     of the next span that has rows, so no order over the whole table is needed. Null
     ids come first.
     """
     lowest = -(1 << 62)
-    keyed = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(lowest)).alias("order"))
+    keyed = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(lowest)).alias("order"), F.xxhash64("text").alias("mark"))
     keyed = keyed.withColumn("part", F.floor(F.col("order") / SPAN).cast("long"))
     firsts = keyed.groupBy("part").agg(F.min("order").alias("first"))
     following = _next_firsts(firsts)
@@ -112,13 +112,13 @@ def with_next(rows: DataFrame, carry: Callable[[Column], Column]) -> DataFrame:
     following = following.crossJoin(F.broadcast(start)).select(F.col("part").alias("into"), F.coalesce("next_first", "start").alias("first"))
     if small(following, ONE_TASK):
         following = F.broadcast(following)
-    guests = keyed.join(following, keyed["order"] == F.col("first")).groupBy("into").agg(F.min("text").alias("text"))
+    guests = keyed.join(following, keyed["order"] == F.col("first")).groupBy("into").agg(F.min_by("text", "mark").alias("text"))
     null = F.lit(None).cast("long")
-    guests = guests.select(null.alias("doc_id"), "text", null.alias("order"), F.col("into").alias("part"), F.lit(True).alias("guest"))
+    guests = guests.select(null.alias("doc_id"), "text", null.alias("order"), null.alias("mark"), F.col("into").alias("part"), F.lit(True).alias("guest"))
     both = keyed.withColumn("guest", F.lit(False)).unionByName(guests)
     # from here on the text travels within what is carried, once
-    carried = both.select("doc_id", "order", "part", "guest", carry(F.col("text")).alias("own"))
-    order = Window.partitionBy("part").orderBy("guest", "order", "own.text")
+    carried = both.select("doc_id", "order", "mark", "part", "guest", carry(F.col("text")).alias("own"))
+    order = Window.partitionBy("part").orderBy("guest", "order", "mark")
     return carried.withColumn("next", F.lead("own").over(order)).where(~F.col("guest")).select("doc_id", "own", "next")
 
 
