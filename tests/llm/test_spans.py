@@ -101,6 +101,14 @@ def test_terms_that_give_an_entity_away(spark, documents):
     assert "[EMAIL]" in clean[0] and "Zorblatt" not in clean[0] and "report" in clean[0] and clean[20] is None
 
 
+def test_a_disclosing_term_is_cleaned_wherever_it_stands(spark, documents):
+    texts = ["the report by Zorblatt for a@b.cd came late\nand zorblatt, again"] * 8 + ["Zorblatt alone", "Zorblattling stays"]
+    texts += ["the report came late for all of them, and again alone"] * 120
+    clean = {r.doc_id: r.clean for r in pii.sanitised(documents(list(enumerate(texts)))).collect()}
+    assert clean[0] == "the report by  for [EMAIL] came late\nand , again" and clean[8] == " alone"
+    assert all(clean[k] is None for k in range(9, 130))
+
+
 def test_terms_against_sql(spark, sf_dir):
     import duckdb
 

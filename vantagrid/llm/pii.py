@@ -133,32 +133,50 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, n_docs: int) -> DataFrame
     return both.where(F.col("n_entity") < n).select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
-def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _everywhere(found: DataFrame, told: DataFrame) -> DataFrame:
+    """(row, start, end, term, share): every place of a term that tells of any entity, in all texts, outside base spans."""
+    shares = told.groupBy("term").agg(F.max("share").alias("share"))
+    words = F.array_distinct(F.transform(F.split("text", r"[^\p{L}]+"), F.lower))
+    held = found.select("row", F.explode(words).alias("term")).join(shares, "term").groupBy("row")
+    texts = found.join(held.agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares")), "row")
+    places = located(F.col("text"), _TERM, lambda value: F.map_contains_key("shares", F.lower(value)))
+    rows = texts.select("row", "spans", "shares", F.explode(places).alias("w")).withColumn("term", F.lower("w.value"))
+    rows = rows.where(F.forall("spans", lambda s: (s["end"] <= F.col("w.start")) | (s["start"] >= F.col("w.end"))))
+    return rows.select("row", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "term", F.element_at("shares", F.col("term")).alias("share"))
+
+
+def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", everywhere: bool = False) -> DataFrame:
     """(id, text, spans): spans of array<struct<start, rank, kind, end, value>>, one row for each input row.
 
-    ``text`` is null where there are no spans.
+    ``text`` is null where there are no spans. Disclosing terms are marked beside their
+    entities, as the query's SQL has it, or ``everywhere`` in all texts.
     """
     work = Scratch(df.sparkSession, "pii")
     docs = df.select(df[id_col].alias("id"), utf8(text_col).alias("text"))
     marked = docs.withColumn("spans", base_spans(F.col("text")))
-    found = work.keep(marked.select(F.monotonically_increasing_id().alias("row"), "id", F.when(F.size("spans") > 0, F.col("text")).alias("text"), "spans"))
+    text = F.col("text") if everywhere else F.when(F.size("spans") > 0, F.col("text"))
+    found = work.keep(marked.select(F.monotonically_increasing_id().alias("row"), "id", text.alias("text"), "spans"))
     near = work.keep(_nearby(found))
     told = disclosing_terms(docs, near, found.count())
     rank = F.when(F.col("share") >= REMOVE, 4).otherwise(5)
     kind = F.when(F.col("share") >= REMOVE, KINDS[4]).otherwise(KINDS[5])
-    hits = near.join(told, ["entity", "term"]).groupBy("row", "start", "end", "term").agg(F.max("share").alias("share"))
+    if everywhere:
+        hits = _everywhere(found, work.keep(told))
+    else:
+        hits = near.join(told, ["entity", "term"]).groupBy("row", "start", "end", "term").agg(F.max("share").alias("share"))
     span = F.struct("start", rank.alias("rank"), kind.alias("kind"), "end", F.col("term").alias("value"))
     extra = hits.groupBy("row").agg(F.collect_list(span).alias("extra"))
     out = found.join(extra, "row", "left")
-    return out.select(F.col("id").alias(id_col), "text", F.array_sort(F.concat("spans", F.coalesce("extra", F.array().cast(found.schema["spans"].dataType)))).alias("spans"))
+    out = out.withColumn("spans", F.array_sort(F.concat("spans", F.coalesce("extra", F.array().cast(found.schema["spans"].dataType)))))
+    return out.select(F.col("id").alias(id_col), F.when(F.size("spans") > 0, F.col("text")).alias("text"), "spans")
 
 
 def sanitised(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, clean): texts with base spans named by kind, generalised terms by shape, removed terms gone.
 
-    Of overlapping spans the first counts. ``clean`` is null where nothing changes.
+    A disclosing term goes wherever it stands, also in texts without the entity. Of overlapping spans the first counts. ``clean`` is null where nothing changes.
     """
-    found = personal_spans(df, id_col, text_col)
+    found = personal_spans(df, id_col, text_col, everywhere=True)
 
     def shown(s: Column) -> Column:
         first = F.when(s["value"] != F.lower(s["value"]), "Name").otherwise("word")
