@@ -308,6 +308,16 @@ def labelled(n, seed):
     return out
 
 
+def test_landmarks_follow_the_training_texts():
+    draw = random.Random(4)
+    alike = ["zwackel" + e for e in ("bam", "dok", "fiz", "gup", "hel")]
+    insults = alike + ["".join(draw.choice("bdfgklmnprst") + draw.choice("aeiou") for _ in range(4)) for _ in range(25)]
+    common = ["house", "river", "evening", "letter", "garden", "zwackelig"]
+    text = lambda *more: " ".join([*draw.choices(common, k=8), *more])
+    found = toxicity.choose_landmarks([text(w) for w in insults for _ in range(12)], [text() for _ in range(2000)])
+    assert {"^" + w for w in alike} <= {*found} and all(any(("^" + w).startswith(s) for s in found) for w in insults)
+
+
 def test_toxicity_on_held_out_rows(spark, sf_dir):
     rows = labelled(700, 1)
     got = queries.op3_toxicity(spark, sf_dir([(i, t) for i, t, _ in rows], [(i, y) for i, _, y in rows])).collect()

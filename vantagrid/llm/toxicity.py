@@ -12,7 +12,8 @@ probability by a logistic fit.
 
 Landmarks are word beginnings that toxic training documents have and clean ones lack,
 chosen greedily by what they say of toxic documents that are little covered so far,
-with common clean words beside. Families of near copies count once.
+with common clean words beside. Their number follows the texts: strings are taken until
+none is left that tells of toxic texts, however many begin alike. Families of near copies count once.
 
 Training takes at most SAMPLE labelled documents of each class, the least by a keyed
 hash of the id. Every text is scored whole; words beyond LONGEST characters are read
@@ -37,14 +38,12 @@ from vantagrid.llm.common import bounded_batches, utf8
 
 #: Length of the subsequences and damping of each character they stretch over.
 ORDER, DAMPING = 4, 0.7
-#: Landmarks taken from toxic and from clean texts, their lengths, and the longest stretch of a word compared at once.
-TOXIC, CLEAN, SHORTEST, LANDMARK, LONGEST = 20, 2, 5, 8, 24
+#: Landmarks taken from clean texts, lengths of landmarks, and the longest stretch of a word compared at once.
+CLEAN, SHORTEST, LANDMARK, LONGEST = 2, 5, 8, 24
 #: Log-likelihood ratio a string needs to become a landmark; chance exceeds it once in a million strings.
 EVIDENCE = 24
 #: Labelled documents of each class that a model is trained on, at most.
 SAMPLE = 1200
-#: Landmarks that begin with the same so many characters, at most.
-STEM, ALIKE = 6, 2
 #: Words whose features a task remembers.
 REMEMBERED = 150_000
 #: From this score on a document counts as toxic.
@@ -236,21 +235,20 @@ def choose_landmarks(toxic: list[str], clean: list[str]) -> list[str]:
         elsewhere.update(s for s in strings(t) if s in pool)
     n1, n0 = len(toxic), len(clean)
     worth = {s: e for s, c in pool.items() if (e := evidence(c, elsewhere[s], n1, n0)) >= EVIDENCE and elsewhere[s] * n1 * 20 <= c * n0 + n1 * 20}
-    telling = sorted(worth, key=lambda s: (-worth[s], -len(s), s))[:4000]
+    telling = sorted(worth, key=lambda s: (-worth[s], -len(s), s))
     keep, holds = set(telling), {s: [] for s in telling}
     for k, t in enumerate(toxic):
         for s in strings(t) & keep:
             holds[s].append(k)
-    fresh, out, begun = np.ones(n1), [], Counter[str]()
+    fresh, out = np.ones(n1), []
     rest = {s: np.array(h) for s, h in holds.items()}
-    while rest and len(out) < TOXIC:
+    while rest:
         gain = {s: worth[s] * fresh[h].sum() / len(h) for s, h in rest.items()}
         best = max(gain, key=lambda s: (gain[s], len(s), s))
         out.append(best)
         fresh[rest.pop(best)] *= 0.3
-        # pieces of a landmark, and strings around it, say the same; of strings that begin alike a few are enough
-        begun[best[:STEM]] += 1
-        rest = {s: h for s, h in rest.items() if not (s in best or best in s) and begun[s[:STEM]] < ALIKE}
+        # pieces of a landmark, and strings around it, say the same
+        rest = {s: h for s, h in rest.items() if not (s in best or best in s)}
     common = Counter(w for t in clean for w in {shaped(x) for x in t.lower().split()} if SHORTEST <= len(w) <= LANDMARK)
     return out + [w for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0])) if w not in out][:CLEAN]
 
