@@ -262,6 +262,19 @@ def test_agendas_agree(vocabulary):
         assert together == [vocabulary.merged(w, k, limit) for w, k in zip(words, keys, strict=True)] == [vocabulary.merged_long(w, k, limit) for w, k in zip(words, keys, strict=True)]
 
 
+def test_every_occurrence_of_a_word_draws_for_itself(vocabulary):
+    word, n = "international", 400
+    texts = [" ".join([word] * n), " ".join([word] * n) + "\n" + word + " " + "x" * 60 + " 中😀"]
+    encoder = pieces.Encoder(vocabulary, 1, 0.1)
+    keys = [pieces.word_keys(zlib.crc32(b"%d" % k, 1), np.arange(n + 4)).tolist() for k in (5, 6)]
+    parts = [pieces.BLANK + word] * n
+    want = [[x for p, k in zip(parts, own, strict=False) for x in vocabulary.merged(p, k, encoder.limit)] for own in keys]
+    want[1] += [*vocabulary.spelled("\n"), *vocabulary.merged(word, keys[1][n + 1], encoder.limit)]
+    want[1] += [x for j, p in ((2, "x" * 60), (3, "中😀")) for x in vocabulary.merged(pieces.BLANK + p, keys[1][n + j], encoder.limit)]
+    assert [np.frombuffer(b, np.int32).tolist() for b in encoder.encode_all(texts, [5, 6])] == want
+    assert len({tuple(vocabulary.merged(parts[0], k, encoder.limit)) for k in keys[0]}) > 4
+
+
 def test_piece_query(spark, corpus, sf_dir):
     for rows, got in ((list(corpus.items()), queries.op4_pieces(spark, SMALL).collect()), ([(r[0], r[1]) for r in ODD], queries.op4_pieces(spark, sf_dir(ODD)).collect())):
         assert sorted((str(r.doc_id), r.decoded_sha256) for r in got) == sorted((str(i), sha((t or "").encode())) for i, t in rows)

@@ -3,9 +3,11 @@
 A byte-pair vocabulary of pieces is read from its model file. A text is cut at blanks
 and line ends, which no piece crosses, and each part is merged from characters by an
 agenda: the best-scored pair first, leftmost among equals. With dropout each
-candidate taken off the agenda is skipped where a keyed hash of seed, variant, part,
-place and piece falls below the rate, so segmentations vary by document and line and
-yet reruns agree. Without dropout the result is that of the vocabulary's own encoder.
+candidate taken off the agenda is skipped where a keyed hash of seed, document, place of
+the word in it, place in the word and piece falls below the rate, so every occurrence of
+a word draws for itself and yet reruns agree. What is remembered of a word is a tree: a
+node for each run of decisions met so far, with its pieces and the candidates that it
+takes when nothing more is skipped. Without dropout the result is that of the vocabulary's own encoder.
 
 Decoding is lossless for every text: characters without a piece are spelled in byte
 pieces, and so is the blank's own sign where a text holds it literally.
@@ -35,8 +37,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Stands for the blank's sign where a text holds it; no word has a line end.
 SIGN = "\n"
-#: Rate of skipped merges, segmentations that a word may have at most, and words a task remembers.
-DROPOUT, VARIANTS, REMEMBERED = 0.1, 4, 600_000
+#: Rate of skipped merges, and nodes of words a task remembers.
+DROPOUT, REMEMBERED = 0.1, 600_000
 
 #: Characters of a part up to which its agenda is a list.
 LONG = 48
@@ -51,6 +53,20 @@ def skipped(key: int, place: int, rank: int, limit: int) -> bool:
     return (h ^ (h >> 13)) < limit
 
 
+def dropped(mixed: np.ndarray, limit: int) -> np.ndarray:
+    """``skipped`` of many candidates, their key, place and rank added up."""
+    h = mixed & 0x3FFFFFFF
+    h = ((h ^ (h >> 15)) * 0x2C1B3C6D) & 0x3FFFFFFF
+    return (h ^ (h >> 13)) < limit
+
+
+def word_keys(begin: int, places: np.ndarray) -> np.ndarray:
+    """Keys of a document's words, from its own number and their places."""
+    h = (begin + places * 0x9E3779B1) & 0xFFFFFFFF
+    h = ((h ^ (h >> 16)) * 0x45D9F3B) & 0xFFFFFFFF
+    return h ^ (h >> 16)
+
+
 class Vocabulary:
     """Pieces by text, byte pieces, and every piece's bytes; it travels with the tasks."""
 
@@ -121,14 +137,48 @@ class Vocabulary:
                 low = high
         return out
 
-    def _block(self, symbols: np.ndarray, key: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-        """Merge every row of ``symbols`` to its end, one agenda entry of each row at a time."""
+    def traced(self, parts: list[str], paths: list[tuple[int, ...]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Pieces of each part when the candidates counted in its path are skipped; the candidates taken behind them, as the hash adds them, and their numbers.
+
+        For parts of known characters, up to LONG.
+        """
+        size = np.array([len(p) for p in parts], np.int64)
+        symbols, begin = self.char_ids[np.frombuffer("".join(parts).encode("utf-32-le"), np.int32)], np.cumsum(size) - size
+        out: list[bytes] = [b""] * len(parts)
+        rows, taken = [], []
+        order = np.argsort(size, kind="stable")
+        for at in range(0, len(order), 4096):
+            some = order[at : at + 4096]
+            inside = np.arange(size[some[-1]]) < size[some][:, None]
+            block = np.where(inside, symbols[np.where(inside, begin[some][:, None] + np.arange(size[some[-1]]), 0)], -1)
+            mine = [paths[k] for k in some.tolist()]
+            forced = np.zeros((len(some), 1 + max((p[-1] for p in mine if p), default=0)), bool)
+            deep = [len(p) for p in mine]
+            forced[np.repeat(np.arange(len(mine)), deep), np.array([x for p in mine for x in p], np.int64)] = True
+            told: list[tuple[np.ndarray, np.ndarray]] = []
+            flat, counts = self._block(block, None, 0, forced, told)
+            last = np.array([p[-1] if p else -1 for p in mine], np.int64)
+            for step, (row, mixed) in enumerate(told):
+                behind = step > last[row]
+                rows.append(some[row[behind]])
+                taken.append(mixed[behind])
+            data, low = flat.tobytes(), 0
+            for k, high in zip(some.tolist(), (np.cumsum(counts) * 4).tolist(), strict=True):
+                out[k], low = data[low:high], high
+        row = np.concatenate([np.zeros(0, np.int64), *rows])
+        return out, np.concatenate([np.zeros(0, np.int64), *taken])[np.argsort(row, kind="stable")], np.bincount(row, minlength=len(parts))
+
+    def _block(self, symbols: np.ndarray, key: np.ndarray | None, limit: int, forced: np.ndarray | None = None, told: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Merge every row of ``symbols`` to its end, one agenda entry of each row at a time.
+
+        ``forced`` says which entries of a row are skipped; ``told`` gets (rows, candidates) of each step.
+        """
         n, width = symbols.shape
         final = symbols.copy()
         if width > 1:
             row, place = np.arange(n), np.tile(np.arange(width), (n, 1))
             agenda = self.ranks(symbols[:, :-1], symbols[:, 1:])
-            across = np.arange(width)
+            across, step = np.arange(width), -1
             while len(row):
                 at = agenda.argmin(axis=1)
                 here = np.arange(len(row))
@@ -141,10 +191,14 @@ class Vocabulary:
                     here = np.arange(len(row))
                     if not len(row):
                         break
-                if limit:
-                    h = (key[row] + place[here, at] * 40503 + best.astype(np.int64) * 69621) & 0x3FFFFFFF
-                    h = ((h ^ (h >> 15)) * 0x2C1B3C6D) & 0x3FFFFFFF
-                    skip = (h ^ (h >> 13)) < limit
+                step += 1
+                if told is not None:
+                    told.append((row, (place[here, at] * 40503 + best.astype(np.int64) * 69621) & 0x3FFFFFFF))
+                if limit or forced is not None and step < forced.shape[1]:
+                    if limit:
+                        skip = dropped(key[row] + place[here, at] * 40503 + best.astype(np.int64) * 69621, limit)
+                    else:
+                        skip = forced[row, step]
                     agenda[here[skip], at[skip]] = NONE
                     go = np.flatnonzero(~skip)
                     if not len(go):
@@ -244,60 +298,117 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, seed: int, rate: float):
         self.v, self.seed, self.limit = vocabulary, seed & 0xFFFFFFFF, int(rate * (1 << 30))
-        self.variants = VARIANTS if rate else 1
         self.end = array("i", vocabulary.spelled("\n")).tobytes()
         self.sign = array("i", vocabulary.spelled(BLANK)).tobytes()
         self.forget()
 
     def forget(self) -> None:
-        #: Encodings of words by variant, with a blank in front and without.
-        self.behind: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.plain: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-
-    def _lines(self, text: str, key: int) -> list[tuple[int, list[str], list[str]]]:
-        """(variant, words without a blank in front, words with one) of each line; a literal sign of the blank ends a line for itself."""
-        at = zlib.crc32(b"%d" % key, self.seed)
+        #: First nodes of words, with a blank in front and without.
+        self.behind: dict[str, int] = {}
+        self.plain: dict[str, int] = {SIGN: 1}
+        #: Of each node: part, steps skipped, pieces. The first two are the line end and the blank's sign.
+        self.parts, self.paths, self.pieces = ["", ""], [(), ()], [self.end, self.sign]
+        self.child: dict[int, int] = {}
+        #: Where a node's candidates begin and how many they are, -1 for parts that are merged anew each time.
+        self.begin, self.count, self.taken, self.n_taken = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int64), 0
+
+    def _lines(self, text: str) -> list[tuple[list[str], list[str]]]:
+        """(words without a blank in front, words with one) of each line; a literal sign of the blank ends a line for itself."""
         out = []
         for k, line in enumerate(text.split("\n")):
-            variant = (at + k) % self.variants
             if BLANK in line or "  " in line or line[:1] == " " or line[-1:] == " ":
                 plain = []
                 for n, piece in enumerate(line.split(BLANK)):
                     front = BLANK if k == 0 and n == 0 else ""
                     plain += ([SIGN] if n else []) + re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", front + piece.replace(" ", BLANK))
-                out.append((variant, plain, []))
+                out.append((plain, []))
             else:
                 words = line.split(" ")
-                out.append((variant, [], words) if k == 0 else (variant, words[:1] if words[0] else [], words[1:]))
+                out.append(([], words) if k == 0 else (words[:1] if words[0] else [], words[1:]))
         return out
 
     def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
-        """Each text's pieces as bytes of 32-bit numbers; the keys choose the variants of their lines."""
-        if sum(map(len, self.behind + self.plain)) > REMEMBERED:
+        """Each text's pieces as bytes of 32-bit numbers; the keys are the documents'."""
+        if len(self.parts) > REMEMBERED:
             self.forget()
-        docs = [self._lines(t, k) if t else [] for t, k in zip(texts, keys, strict=True)]
-        for variant in range(self.variants):
-            for known, front, which in ((self.plain[variant], "", 1), (self.behind[variant], BLANK, 2)):
-                known[SIGN] = self.sign
-                fresh = {w for lines in docs for line in lines if line[0] == variant for w in line[which] if w not in known}
-                self._learn(known, sorted(fresh), front, variant)
+        docs = [self._lines(t) if t else [] for t in texts]
+        for known, front, which in ((self.plain, "", 0), (self.behind, BLANK, 1)):
+            fresh = sorted({w for lines in docs for line in lines for w in line[which] if w not in known})
+            known.update(zip(fresh, self._grow([front + w for w in fresh], [()] * len(fresh)), strict=True))
         out = []
-        for lines in docs:
-            found: list[bytes] = []
-            for k, (variant, plain, behind) in enumerate(lines):
+        for lines, key in zip(docs, keys, strict=True):
+            found: list[int] = []
+            for k, (plain, behind) in enumerate(lines):
                 if k:
-                    found.append(self.end)
-                found.extend(map(self.plain[variant].__getitem__, plain))
-                found.extend(map(self.behind[variant].__getitem__, behind))
-            out.append(b"".join(found))
-        return out
-
-    def _learn(self, known: dict[str, bytes], words: list[str], front: str, variant: int) -> None:
-        parts = [front + w for w in words]
-        seed = (self.seed * VARIANTS + variant) & 0xFFFFFFFF
-        keys = [zlib.crc32(p.encode(), seed) for p in parts] if self.limit else [0] * len(parts)
-        if parts:
-            known.update(zip(words, self.v.merged_all(parts, keys, self.limit), strict=True))
+                    found.append(0)
+                found.extend(map(self.plain.__getitem__, plain))
+                found.extend(map(self.behind.__getitem__, behind))
+            out.append(np.array(found, np.int64))
+        size = [len(x) for x in out]
+        nodes = np.concatenate([np.zeros(0, np.int64), *out])
+        drawn = [word_keys(zlib.crc32(b"%d" % k, self.seed), np.arange(n)) for k, n in zip(keys, size, strict=True)]
+        key = np.concatenate([np.zeros(0, np.int64), *drawn])
+        odd = np.flatnonzero(self.count[nodes] < 0).tolist()
+        if self.limit:
+            for at in range(0, len(nodes), 1 << 17):
+                self._walk(nodes[at : at + (1 << 17)], key[at : at + (1 << 17)])
+        found = list(map(self.pieces.__getitem__, nodes.tolist()))
+        if self.limit:
+            for k in odd:
+                found[k] = array("i", self.v.merged(self.parts[nodes[k]], int(key[k]), self.limit)).tobytes()
+        edges = np.cumsum([0, *size]).tolist()
+        return [b"".join(found[a:z]) for a, z in zip(edges, edges[1:], strict=False)]
+
+    def _walk(self, nodes: np.ndarray, key: np.ndarray) -> None:
+        """Lead every word, in place, to the node of its own draws: on to a child where a candidate is skipped."""
+        open_ = np.flatnonzero(self.count[nodes] > 0)
+        while len(open_):
+            here = nodes[open_]
+            n = self.count[here]
+            ends = np.cumsum(n)
+            nth = np.arange(ends[-1]) - np.repeat(ends - n, n)
+            skip = np.flatnonzero(dropped(np.repeat(key[open_], n) + self.taken[np.repeat(self.begin[here], n) + nth], self.limit))
+            row = np.searchsorted(ends, skip, side="right")
+            first = np.append(True, row[1:] != row[:-1])[: len(row)]
+            row, skip = row[first], skip[first]
+            code, which = np.unique(here[row] << 10 | nth[skip], return_inverse=True)
+            fresh = [c for c in code.tolist() if c not in self.child]
+            above = [c >> 10 for c in fresh]
+            steps = [(*self.paths[a], (self.paths[a][-1] + 1 if self.paths[a] else 0) + (c & 1023)) for a, c in zip(above, fresh, strict=True)]
+            self.child.update(zip(fresh, self._grow([self.parts[a] for a in above], steps), strict=True))
+            open_ = open_[row]
+            nodes[open_] = np.array([self.child[c] for c in code.tolist()], np.int64)[which]
+            open_ = open_[self.count[nodes[open_]] > 0]
+
+    def _grow(self, parts: list[str], paths: list[tuple[int, ...]]) -> range:
+        """New nodes: these parts with these steps skipped."""
+        low = len(self.parts)
+        made = range(low, low + len(parts))
+        while made.stop > len(self.begin):
+            self.begin, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.begin, self.count))
+        size = np.array([len(p) for p in parts], np.int64)
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.int32)
+        unknown = np.bincount(np.repeat(np.arange(len(parts)), size)[self.v.char_ids[codes] < 0], minlength=len(parts))
+        plain = np.flatnonzero((size <= LONG) & (unknown == 0)).tolist()
+        self.parts += parts
+        self.paths += paths
+        self.pieces += [b""] * len(parts)
+        self.count[low : made.stop] = -1
+        if plain:
+            got, taken, counts = self.v.traced([parts[k] for k in plain], [paths[k] for k in plain])
+            for k, x in zip(plain, got, strict=True):
+                self.pieces[low + k] = x
+            at = low + np.array(plain)
+            self.count[at], self.begin[at] = counts, self.n_taken + np.cumsum(counts) - counts
+            while self.n_taken + len(taken) > len(self.taken):
+                self.taken = np.concatenate([self.taken, np.zeros_like(self.taken)])
+            self.taken[self.n_taken : self.n_taken + len(taken)] = taken
+            self.n_taken += len(taken)
+        if not self.limit:
+            rest = sorted(set(range(len(parts))) - set(plain))
+            for k in rest:
+                self.pieces[low + k] = array("i", self.v.merged(parts[k])).tobytes()
+        return made
 
     def encode(self, text: str, key: int) -> bytes:
         return self.encode_all([text], [key])[0]
