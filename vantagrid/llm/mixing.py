@@ -5,7 +5,8 @@ weights under a ceiling for each source. A document first gets the whole copies
 source's rate makes certain; the fraction that is left over is its inclusion
 probability for one copy more. The extra copies go to the documents of the least
 Pareto ranks, random odds divided by inclusion odds, until the source's words are
-reached: a sample of fixed size in words.
+reached: a sample of fixed size in words. Within a source the inclusion odds are equal,
+so that the order of the ranks is that of the draws.
 
 The cut in each source is found by a radix search over the ranks: words are summed
 for each (source, rank prefix), the prefix in which the target falls is kept, and
