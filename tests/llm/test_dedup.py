@@ -7,9 +7,12 @@ import numpy as np
 import pytest
 from shared_rows import ODD, SMALL
 
-from vantagrid.llm import components, lines, neardup, oracle, queries, suffixes
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from vantagrid.llm import components, hashing, lines, neardup, oracle, queries, suffixes
 from vantagrid.llm.common import Scratch
-from vantagrid.llm.hashing import Powers, shingle_sets
+from vantagrid.llm.hashing import Digests, exact_shingle_sets, shingle_sets
 
 
 def shingles(text, size):
@@ -104,9 +107,69 @@ def test_sketch_estimates_hold():
 
 def test_shingles_are_those_of_the_definition():
     texts = ["A b\tC d e", "a", "a b c", "", "é É x y z w", "a b c d a b c d a b c d"]
-    got = shingle_sets([t.encode() for t in texts], 4, Powers())
+    got = shingle_sets([t.encode() for t in texts], 4, Digests())
     assert [len(s) for s in got] == [len(shingles(t, 4)) for t in texts]
-    assert got[0].tolist() == shingle_sets([b"a B c D E"], 4, Powers())[0].tolist()
+    assert got[0].tolist() == shingle_sets([b"a B c D E"], 4, Digests())[0].tolist()
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet="abA \t\n", max_size=24), min_size=1, max_size=6), st.integers(1, 5))
+def test_exact_shingles_meet_where_the_words_do(texts, size):
+    want = [shingles(t, size) for t in texts]
+    for got in (exact_shingle_sets([t.encode() for t in texts], size), shingle_sets([t.encode() for t in texts], size, Digests())):
+        assert [len(s) for s in got] == [len(s) for s in want]
+        for a, x in zip(got, want, strict=True):
+            assert [len(np.intersect1d(a, b)) for b in got] == [len(x & y) for y in want]
+
+
+def test_words_are_cut_alike_in_pieces(monkeypatch):
+    text = b" Aa  b\tcc " * 40 + b"x" * 100
+    whole = exact_shingle_sets([text], 4)[0]
+    monkeypatch.setattr(hashing, "CHUNK", 7)
+    assert exact_shingle_sets([text], 4)[0].tolist() == whole.tolist() and len(hashing.Digests().of(text)) == 121
+
+
+def texts_by_row(rows, size):
+    """Component of every (id, text), by all pairs of texts, where rows of one id are one document."""
+    root, _ = classes(dict(enumerate(t for _, t in rows)), size)
+    joined = components_of([(k, root[k]) for k in root] + [(a, b) for a, (i, _) in enumerate(rows) for b, (j, _) in enumerate(rows) if i == j and a < b])
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[joined[k]] = min(i, least.get(joined[k], i))
+    return sorted((i, least[joined[k]]) for k, (i, _) in enumerate(rows))
+
+
+def components_of(edges):
+    root = {x: x for e in edges for x in e}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return {i: find(i) for i in root}
+
+
+def test_near_dedup_of_documents_with_several_texts(spark, documents):
+    one, two, other = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(3, one), (7, one), (7, two), (9, two), (11, ""), (11, other), (12, other), (12, other), (20, " ")]
+    got = sorted((r.doc_id, r.component_id) for r in neardup.near_duplicates(documents(rows)).collect())
+    assert got == texts_by_row(rows, 5) == [(3, 3), (7, 3), (7, 3), (9, 3), (11, 11), (11, 11), (12, 11), (12, 11), (20, 20)]
+    kept = lambda rows: sorted((r.doc_id, r.text) for r in neardup.representatives(documents(rows).selectExpr("*", "1 AS DID_0", "2 AS mark_0")).collect())
+    assert kept([(3, one), (7, one), (7, two), (8, other)]) == [(3, one), (7, two), (8, other)]
+    assert kept([*rows, (12, two + " x"), (1, two), (1, two)]) == [(1, two), (3, one), (11, ""), (11, other), (20, " ")]
+
+
+def test_unlike_words_are_never_linked(spark, documents):
+    # sequences on which polynomials modulo a power of two collide
+    morse = "".join("ab"[bin(k).count("1") % 2] for k in range(4096))
+    flipped = morse.translate(str.maketrans("ab", "ba"))
+    rows = [(1, " ".join([morse] * 3)), (2, " ".join([flipped] * 3)), (3, morse + " " + flipped), (4, flipped + " " + morse)]
+    got = {r.doc_id: (r.component_id, r.n_shingles) for r in neardup.near_duplicates(documents(rows), shingle=1).collect()}
+    assert got == {1: (1, 1), 2: (2, 1), 3: (3, 2), 4: (3, 2)}
 
 
 def test_components(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -29,9 +30,11 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is named."""
+    """The folder that driver and executors share; where none is named, a local one if they are one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="vantagrid-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -81,6 +84,12 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for k in itertools.count() if (n := f"{name}_{k}").lower() not in taken)
+
+
 def utf8(column: str = "text"):
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

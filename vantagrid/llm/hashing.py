@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+import re
+from collections import defaultdict
+from collections.abc import Iterator
+
 import numpy as np
 
 U = np.uint64
@@ -12,10 +18,10 @@ BYTE_VALUES_2 = _rng.integers(0, 2**64, 256, dtype=U)
 BASE = int(_rng.integers(0, 2**63)) * 2 + 1
 _INVERSE = pow(BASE, -1, 2**64)
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Bytes of a text that are cut into words at a time; words that are remembered, and the longest of them.
+CHUNK, REMEMBERED, SHORT = 1 << 20, 400_000, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,49 +63,90 @@ def window_hashes(sums: np.ndarray, powers: Powers, start: np.ndarray, end: np.n
     return mix((sums[end] - sums[start]) * powers.down[start] + (end - start).astype(U))
 
 
-def word_hashes(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts, A-Z lower-cased, and each text's number of words."""
-    data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
-    gap = _SPACE[data]
-    before = np.concatenate([[True], gap[:-1]])
-    start, end = np.flatnonzero(before & ~gap), np.flatnonzero(~before & gap)
-    hashes = window_hashes(prefix_sums(data, powers), powers, start, end)
-    begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-    return hashes, np.diff(np.searchsorted(start, begins))
+def word_lists(data: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, A-Z lower-cased, about CHUNK bytes of it at a time."""
+    at = 0
+    while at < len(data):
+        end = at + CHUNK
+        if end < len(data):
+            gap = _GAP.search(data, end)
+            end = gap.start() if gap else len(data)
+        # without an argument, split cuts at exactly the bytes of white space
+        yield data[at:end].translate(_LOWER).split()
+        at = end
 
 
-def shingle_sets(texts: list[bytes], size: int, powers: Powers, together: int = 1 << 20) -> list[np.ndarray]:
-    """Each text's distinct shingles of ``size`` words as sorted 64-bit hashes; all its words where there are fewer.
+class Digests(dict):
+    """64 bits of a digest of each word's bytes, remembered for short words."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= SHORT:
+            self[word] = value
+        return value
+
+    def of(self, data: bytes) -> np.ndarray:
+        """The digests of a text's words, in order."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        parts = [np.fromiter(map(self.__getitem__, words), U, len(words)) for words in word_lists(data)]
+        return np.concatenate([np.zeros(0, U), *parts])
 
-    About ``together`` bytes of texts are hashed at a time.
-    """
-    out: list[np.ndarray] = []
-    at = 0
-    while at < len(texts):
-        room, low = together, at
-        while at < len(texts) and (at == low or room > 0):
-            room -= len(texts[at])
-            at += 1
-        out += _shingle_sets(texts[low:at], size, powers)
-    return out
 
+def sequence_digest(data: bytes) -> bytes:
+    """128 bits of a digest of a text's words in order."""
+    out = hashlib.blake2b(digest_size=16)
+    for words in word_lists(data):
+        out.update(b"".join([w + b" " for w in words]))
+    return out.digest()
 
-def _shingle_sets(texts: list[bytes], size: int, powers: Powers) -> list[np.ndarray]:
-    words, counts = word_hashes(texts, powers)
+
+def shingle_sets(texts: list[bytes], size: int, digests: Digests) -> list[np.ndarray]:
+    """Each text's distinct shingles of ``size`` words as sorted 64-bit hashes; all its words where there are fewer."""
+    return [_shingle_set(digests.of(t), size) for t in texts]
+
+
+def _shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     odd = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93), U(0x85EBCA77C2B2AE63)]
-    run = np.zeros(max(len(words) - size + 1, 0), U)
+    n = len(words)
+    if not n:
+        return words
+    if n < size:
+        few = np.full(1, n, U)
+        for k in range(n):
+            few = mix(few * odd[0] + words[k : k + 1])
+        return few
+    run = np.zeros(n - size + 1, U)
     for k in range(size):
         run = mix(run * odd[k % 5] + words[k : k + len(run)])
+    return np.unique(run)
+
+
+def exact_shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """Each text's distinct shingles as sorted numbers that are equal, among these texts, exactly where the words are.
+
+    Words are numbered by their bytes, runs of words by the numbers of their halves.
+    """
+    number: dict[bytes, int] = defaultdict(itertools.count().__next__)
+    few: dict[tuple[int, ...], int] = defaultdict(itertools.count(1).__next__)
+    parts = []
+    for t in texts:
+        lists = [np.fromiter(map(number.__getitem__, words), np.int64, len(words)) for words in word_lists(t)]
+        parts.append(np.concatenate([np.zeros(0, np.int64), *lists]))
+    # what is behind the last word belongs to no text
+    run, have = np.concatenate([np.zeros(0, np.int64), *parts, np.zeros(size, np.int64)]), 1
+    while have < size:
+        if have > 1:
+            run = np.unique(run, return_inverse=True)[1].ravel()
+        step = min(have, size - have)
+        run = run[: len(run) - step] << 32 | run[step:]
+        have += step
     out, at = [], 0
-    for n in counts.tolist():
-        if n >= size:
-            out.append(np.unique(run[at : at + n - size + 1]))
-        elif n:
-            few = np.full(1, n, U)
-            for k in range(at, at + n):
-                few = mix(few * odd[0] + words[k : k + 1])
-            out.append(few)
+    for own in parts:
+        n = len(own)
+        if 0 < n < size:
+            out.append(np.full(1, -few[tuple(own.tolist())], np.int64))
         else:
-            out.append(np.zeros(0, U))
+            out.append(np.unique(run[at : at + n - size + 1]) if n else own)
         at += n
     return out
