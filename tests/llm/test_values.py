@@ -284,22 +284,38 @@ def test_piece_query(spark, corpus, sf_dir):
     assert {r.doc_id: r.text is None for r in pieces.decoded(null).collect()} == {1: True, 2: False}
 
 
-def by_recursion(s, t, order, damping):
-    """The kernel by summing over all pairs of equal subsequences."""
+def subsequences(word):
+    """Weights of a string's subsequences, by all choices of places; their squares add up to 1."""
     from itertools import combinations
 
-    ends = defaultdict(float)
-    for x, sign in ((s, 0), (t, 1)):
-        for at in combinations(range(len(x)), order):
-            ends["".join(x[i] for i in at), sign] += damping ** (at[-1] - at[0] + 1)
-    return sum(v * ends.get((k, 1), 0.0) for (k, sign), v in list(ends.items()) if sign == 0)
+    marked = ["^", *word, "$"]
+    out = defaultdict(float)
+    for at in combinations(range(len(marked)), toxicity.ORDER):
+        if at[-1] - at[0] < toxicity.SPAN:
+            out[tuple(marked[i] for i in at)] += toxicity.DAMPING ** (at[-1] - at[0] + 1 - toxicity.ORDER)
+    size = sum(v * v for v in out.values()) ** 0.5
+    return {k: v / size for k, v in out.items()}
+
+
+def alike(s, t):
+    a, b = subsequences(s), subsequences(t)
+    return sum(v * b.get(k, 0.0) for k, v in a.items())
 
 
 def test_kernel_against_all_subsequences():
-    words, marks = ["abcabd", "dcba", "a", "", "aabbccdd", "abxcd"], ["abcd", "aabb", "dddd"]
-    got = toxicity.Kernel(marks)(words)
-    want = [[by_recursion(w, m, toxicity.ORDER, toxicity.DAMPING) for m in marks] for w in words]
-    assert np.allclose(got, want, rtol=1e-4)
+    words, marks = ["abcabd", "dcba", "a", "ab", "aabbccdd", "abxcd", "abcdéabcd" * 3], ["abcd", "aabb", "dddd", "a"]
+    kernel = toxicity.Kernel(toxicity.Strings([*words, *marks]), marks)
+    want = [[alike(w, m) for m in marks] for w in words]
+    assert np.allclose(kernel(words), want, rtol=1e-4, atol=1e-6) and np.allclose(np.diag(kernel(marks)), 1)
+    assert kernel([""]).tolist() == [[0.0] * 4]
+
+
+def test_strings_of_sentences():
+    assert toxicity.sentences("A b.\ni.d.i.o.t x! Y d a f t\n\n1.5") == [["a", "b"], ["i.d.i.o.t", "x"], ["ydaft"], ["1.5"]]
+    shown = ["id-iot", "i.d.i.o.t", "*idiot*", "ixdxixoxt", "idiot", "--", "banana", "x_y"]
+    assert [toxicity.shaped(t) for t in shown] == ["idiot"] * 5 + ["", "banana", "xy"]
+    assert [len(s) for s in toxicity.sentences("we " * 60)] == [24, 24, 12]
+    assert [len(w) for w in toxicity.sentences("w" * 5000)[0]] == [4096, 904]
 
 
 def labelled(n, seed):
@@ -321,14 +337,40 @@ def labelled(n, seed):
     return out
 
 
-def test_landmarks_follow_the_training_texts():
+def test_landmarks_are_of_both_classes():
     draw = random.Random(4)
-    alike = ["zwackel" + e for e in ("bam", "dok", "fiz", "gup", "hel")]
-    insults = alike + ["".join(draw.choice("bdfgklmnprst") + draw.choice("aeiou") for _ in range(4)) for _ in range(25)]
-    common = ["house", "river", "evening", "letter", "garden", "zwackelig"]
-    text = lambda *more: " ".join([*draw.choices(common, k=8), *more])
-    found = toxicity.choose_landmarks([text(w) for w in insults for _ in range(12)], [text() for _ in range(2000)])
-    assert {"^" + w for w in alike} <= {*found} and all(any(("^" + w).startswith(s) for s in found) for w in insults)
+    insults = ["zwackel" + e for e in ("bam", "dok", "fiz")] + ["".join(draw.choice("bdfgklmnprst") + draw.choice("aeiou") for _ in range(4)) for _ in range(25)]
+    common = ["house", "river", "evening", "letter", "garden", "zwackelig", *("".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(300))]
+    doc = lambda *more: {*draw.choices(common, k=8), *more}
+    toxic, clean = [doc(w) for w in insults for _ in range(12)], [doc() for _ in range(2000)]
+    telling = toxicity.telling_runs(toxic, clean)
+    found = toxicity.choose_landmarks(toxic, clean, telling, toxicity.Worth(telling), 200)
+    assert set(insults) <= set(found) and "zwackelig" in found and len(found) == len(set(found)) == 200
+    assert len([w for w in found if w in common]) >= 100
+
+
+def test_scores_against_the_definition():
+    rows = labelled(160, 6)
+    model = toxicity.train([t for _, t, y in rows if y], [t for _, t, y in rows if not y])
+    texts = [rows[0][1], rows[1][1], "", "zwackel", "a. b c! grumb-fle hob"]
+
+    def margin(words):
+        return model.bias + sum(float(b) * sum(alike(toxicity.shaped(w), m) ** toxicity.POWER for w in words if toxicity.shaped(w)) for b, m in zip(model.beta, model.landmarks, strict=True))
+
+    for text, got in zip(texts, model.scores(texts), strict=True):
+        margins = [margin(s) for s in toxicity.sentences(text)]
+        own = [max(margins, default=model.bias), sum(max(m - toxicity.FROM, 0) for m in margins) / max(len(margins), 1) ** 0.5]
+        want = 1 / (1 + np.exp(-(np.dot(own, model.logistic[:2]) + model.logistic[2])))
+        assert abs(got - want) < 1e-3
+
+
+def test_insults_in_disguise():
+    rows = labelled(700, 1)
+    model = toxicity.train([t for _, t, y in rows if y], [t for _, t, y in rows if not y])
+    for insult in ("zwackel", "zw-ackel", "z.w.a.c.k.e.l", "z*w*a*c*k*e*l", "zxwxaxcxkxexl", "Z W A C K E L"):
+        assert model.scores([f"ratomi len {insult} sorka vu"])[0] >= 0.7, insult
+    # a longer word around one, and ends of it, are other words
+    assert max(model.scores(["ratomi len zwackelmilen sorka", "ratomi wack sorka", "zwasorka hobmilen"])) < 0.7
 
 
 def test_toxicity_on_held_out_rows(spark, sf_dir):
