@@ -248,7 +248,7 @@ def text_groups(docs: DataFrame, shingle: int, similar: int, work: Scratch) -> D
 
     # every class with the hub of each of its buckets
     weight = buckets.groupBy("cid").agg(F.sum("members").alias("weight"))
-    hubs = buckets.join(weight, "cid").groupBy("key").agg(F.max_by("cid", F.struct("weight", -F.col("cid"))).alias("hub"))
+    hubs = work.keep(buckets.join(weight, "cid").groupBy("key").agg(F.max_by("cid", F.struct("weight", -F.col("cid"))).alias("hub")))
     members = work.keep(buckets.join(hubs, "key").select("hub", "cid").distinct())
     salts = members.join(sketches.select("cid", "n"), "cid")
     salts = salts.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("shingles")).select("hub", _blocks().alias("salts"))
@@ -296,7 +296,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similar: int = SIMILAR) -
     else:
         joined = components(named.join(held, "did").select(F.col("component").alias("u"), F.col("least").alias("v")), work)
         wide = named.join(joined.select(F.col("id").alias("component"), F.col("component").alias("joined")), "component", "left").withColumn("wide", F.coalesce("joined", "component"))
-    heads = wide.groupBy("wide").agg(F.min("did").alias("head"))
+    # written, so that the join below may split a group that holds many rows
+    heads = work.keep(wide.groupBy("wide").agg(F.min("did").alias("head")))
     # one row for each group and document; rows without words follow their document's others
     told = work.keep(wide.join(heads, "wide").select("did", "component", "head").distinct())
     by_text = rows.join(told, ["did", "component"], "left")
@@ -315,7 +316,7 @@ def representatives(docs: DataFrame, shingle: int = 5, similar: int = SIMILAR) -
     """
     work = Scratch(docs.sparkSession, "neardup")
     rows = text_groups(docs, shingle, similar, work).where("n > 0")
-    heads = rows.groupBy("component").agg(F.min(F.struct("did", "mark")).alias("head"))
+    heads = work.keep(rows.groupBy("component").agg(F.min(F.struct("did", "mark")).alias("head")))
     gone = rows.join(heads, "component").where(F.struct("did", "mark") != F.col("head"))
     gone = work.keep(gone.select("did", "mark").distinct())
     twice = rows.groupBy("did", "mark").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("did", "mark")
