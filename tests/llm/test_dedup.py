@@ -239,6 +239,21 @@ def test_suffix_dedup_of_odd_rows(spark, documents):
     assert suffixes.without_repeats(documents([])).count() == 0
 
 
+def test_suffix_dedup_of_repeated_rows(spark, sf_dir):
+    draw = np.random.default_rng(8)
+    make = lambda n: "".join(draw.choice(list("abcdefgh "), n))
+    passage = make(442)
+    a, b, c = make(150) + passage + make(80), make(60) + passage[20:] + make(300), make(90) + passage[:300]
+    rows = [(4, a), (4, a), (5, b), (5, b), (5, b), (6, c), (7, a), (8, b), (8, c), (8, c)]
+    got = sorted(tuple(r) for r in queries.op9_suffix_dedup(spark, sf_dir(rows)).collect())
+    # rows of one id stand in the order of their texts' hashes
+    frame = spark.createDataFrame(sorted(set(rows)), "id long, text string").selectExpr("id", "text", "xxhash64(text) AS mark")
+    once = [(r.id, r.text) for r in sorted(frame.collect(), key=lambda r: (r.id, r.mark))]
+    want = dict(zip(once, repeats_removed(once), strict=True))
+    assert got == sorted(want[r] for r in rows)
+    assert [r[2] for r in got if r[0] == 4] == [0, 0]
+
+
 def chunked(text, modulus=3, factor=31):
     hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in text.split("\n")]
     out, own = [], []

@@ -11,18 +11,22 @@ come first, neither of which loses a repeat:
 1. Every window has an anchor, the least (leftmost) hash among its runs of ANCHOR
    bytes. Equal windows have equal anchors in equal places. The windows that share an
    anchor follow each other; together they are a stretch of text. A stretch that
-   occurs earlier as a whole is covered whole, and its first occurrence stands for it.
+   occurs earlier as a whole (64 bits of hash over all its bytes and 64 over its anchor's)
+   is covered whole, and its first occurrence stands for it. Stretches are dealt by
+   their content, so an anchor that very many different ones share is never in one task.
 2. Of the stretches that are left, only those whose anchor another different stretch
-   also has can share part of their windows. Their suffixes are sorted, anchor by
-   anchor.
+   also has can share part of their windows. Their suffixes are sorted byte for byte,
+   anchor by anchor. The stretches of an anchor that more than HOT of them share are
+   first cut into PARTS short ones, by where in a window the anchor is, and dealt by the
+   bytes that all windows of such a part have in common: other tasks, the same sort.
 
-Copies of a stretch are merged where they are read, so an anchor that very many
+Copies of a stretch are merged where they are read, so a stretch that very many
 texts share reaches a task about once for each partition read.
 
 Null and empty texts and texts under 100 bytes lose nothing and keep their own bytes.
-Rows are in order by (doc_id, text hash); exact repeats of a row are one text and are
-cleaned alike. Texts of any length are read whole, in blocks that overlap. An empty
-table gives an empty result.
+Rows are in order by (doc_id, text hash); exact repeats of a row are one text, are judged
+once and cleaned alike. Texts of any length are read whole, in blocks that overlap. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantagrid.llm.common import Scratch, bounded_batches, utf8
-from vantagrid.llm.hashing import BYTE_VALUES_2, Powers, U, mix, prefix_sums, window_hashes
+from vantagrid.llm.common import Scratch, bounded_batches, small
+from vantagrid.llm.hashing import Powers, U, mix, prefix_sums, range_hashes, window_hashes
 
 #: Bytes of a repeat, and of the runs that anchor windows.
 WINDOW, ANCHOR = 100, 32
@@ -43,10 +47,12 @@ WINDOW, ANCHOR = 100, 32
 BLOCK = 1 << 19
 #: Stretches that a reading task holds before it merges their copies; windows that a task sorts at a time.
 HELD, SORTED = 1 << 21, 1 << 19
-#: An anchor of more different stretches than this is settled window by window, dealt by the windows' hashes.
-HOT = 256
+#: Stretches of an anchor from which on they are cut up, into how many parts, and parts held to merge their copies.
+HOT, PARTS, HELD_PARTS = 256, 8, 1 << 17
 #: Bytes of text for each partition of stretches, at most.
-DEALT = 128 << 20
+DEALT = 48 << 20
+#: Ids that may travel to the scan.
+PICKED = 500_000
 
 
 def anchors(data: np.ndarray, powers: Powers, window: int = WINDOW, size: int = ANCHOR) -> np.ndarray:
@@ -75,12 +81,11 @@ def stretches(text: bytes, powers: Powers, window: int = WINDOW) -> Table:
         where = anchors(data, powers, window)
         begin = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
         end = np.append(begin[1:], len(where))
-        one, two = prefix_sums(data, powers), prefix_sums(data, powers, BYTE_VALUES_2)
         spot = where[begin]
         parts.append(
             {
-                "anchor": window_hashes(one, powers, spot, spot + ANCHOR).view(np.int64),
-                "content": (window_hashes(two, powers, begin, end - 1 + window) ^ (spot - begin).astype(U)).view(np.int64),
+                "anchor": range_hashes(data, spot, spot + ANCHOR).view(np.int64),
+                "content": (range_hashes(data, begin, end - 1 + window, 1) + (spot - begin).astype(U)).view(np.int64),
                 "start": begin + low,
                 "windows": end - begin,
                 "lead": spot - begin,
@@ -171,20 +176,61 @@ def shared_windows(t: Table, window: int = WINDOW) -> Table:
     return late | {"windows": np.ones(len(late["start"]), np.int64)}
 
 
-def single_windows(t: Table, powers: Powers, window: int = WINDOW) -> Table:
-    """Stretches with their bytes, split into stretches of one window that are keyed by the window's own hashes."""
-    n = t["windows"]
+def cut_up(t: Table, window: int = WINDOW) -> Table:
+    """Stretches with their bytes, each cut where the anchor's place in the window enters another of PARTS classes.
+
+    ``anchor`` becomes a hash of the class and of the bytes that all its windows have in
+    common; equal windows have equal ones.
+    """
+    wide = -(-(window - ANCHOR + 1) // PARTS)
+    high, low = t["lead"], t["lead"] - t["windows"] + 1
+    n = high // wide - low // wide + 1
     own = np.repeat(np.arange(len(n)), n)
-    step = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+    part = low[own] // wide + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+    top, bottom = np.minimum(high[own], part * wide + wide - 1), np.maximum(low[own], part * wide)
+    skip = high[own] - top
+    windows = top - bottom + 1
+    texts = t["text"][own].tolist()
+    out = {k: t[k][own] for k in ("id", "mark")} | {"start": t["start"][own] + skip, "windows": windows, "lead": top}
     data = np.frombuffer(b"".join(t["text"].tolist()), np.uint8)
-    begin = np.repeat(np.cumsum(n + window - 1) - (n + window - 1), n) + step
-    one, two = prefix_sums(data, powers), prefix_sums(data, powers, BYTE_VALUES_2)
-    out = {k: t[k][own] for k in ("id", "mark")}
-    keys = {"anchor": window_hashes(one, powers, begin, begin + window).view(np.int64), "content": window_hashes(two, powers, begin, begin + window).view(np.int64)}
-    return keys | out | {"start": t["start"][own] + step, "windows": np.ones(len(own), np.int64), "lead": np.zeros(len(own), np.int64)}
+    size = t["windows"] + window - 1
+    # the anchor is ``lead`` behind the stretch's begin; a part's common bytes begin part * wide before it
+    core = (np.cumsum(size) - size)[own] + high[own] - part * wide
+    out["anchor"] = (range_hashes(data, core, core + window - wide + 1, 2) + part.astype(U)).view(np.int64)
+    cuts = zip(texts, skip.tolist(), (skip + windows - 1 + window).tolist(), strict=True)
+    out["text"] = np.array([x[a:z] for x, a, z in cuts] + [None], object)[:-1]
+    return out
+
+
+class _Parts:
+    """Holds parts of stretches as they are cut and lets go of those whose bytes an earlier one has."""
+
+    def __init__(self):
+        self.held: list[Table] = []
+        self.count = 0
+
+    def add(self, t: Table) -> Iterator[pa.RecordBatch]:
+        self.held.append(t)
+        self.count += len(t["start"])
+        if self.count >= HELD_PARTS:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.count:
+            t = stacked(self.held, ("anchor", "lead", "text", "windows", *PLACE))
+            t = rows(t, np.lexsort((t["start"], t["mark"], t["id"])))
+            seen: set[tuple] = set()
+            first = np.zeros(len(t["start"]), bool)
+            for k, key in enumerate(zip(t["anchor"].tolist(), t["lead"].tolist(), t["text"].tolist(), strict=True)):
+                if key not in seen:
+                    seen.add(key)
+                    first[k] = True
+            yield from _sent(1, spans_of(rows(t, ~first)))
+            yield from _sent(3, rows(t, first))
+        self.held, self.count = [], 0
 
 
-# Rows between tasks: kind 0 a stretch, 1 a span that goes, 2 a stretch that others share in part, 3 that with its bytes.
+# Rows between tasks: kind 0 a stretch, 1 a span that goes, 2 a stretch's first occurrence, 3 one that others share in part, with its bytes.
 _FIELDS = {"kind": "int", "anchor": "long", "content": "long", "id": "long", "mark": "long", "start": "int", "windows": "int", "lead": "int", "text": "binary"}
 SCHEMA = ", ".join(f"{k} {v}" for k, v in _FIELDS.items())
 _TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
@@ -194,7 +240,8 @@ def _sent(kind: int, t: Table) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow; a span's end travels as ``windows``, its key is spread by place."""
     n = len(t["start"])
     if kind == 1:
-        t = t | {"windows": t["end"], "anchor": mix(t["id"].view(U) + t["start"].view(U)).view(np.int64)}
+        spread = mix(t["id"].view(U) + t["start"].view(U)).view(np.int64)
+        t = t | {"windows": t["end"], "anchor": spread, "content": spread}
     for at in range(0, n, 1 << 16):
         part = slice(at, at + (1 << 16))
         size = min(n - at, 1 << 16)
@@ -264,13 +311,12 @@ def _read(powers: Powers) -> Callable:
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First step: later copies of stretches go; firsts whose anchor has other stretches are handed on."""
+    """First step: later copies of stretches go, firsts are handed on."""
     got = _received(batches, (0, 1))
     first, late = merged(got[0])
     yield from _sent(1, spans_of(late))
-    fresh = changes(first["anchor"])
-    several = np.bincount(np.cumsum(fresh))[np.cumsum(fresh)] > 1 if len(fresh) else fresh
-    yield from _sent(2, rows(first, several))
+    del first["content"]
+    yield from _sent(2, first)
     yield from _passed(got[1])
 
 
@@ -278,30 +324,24 @@ def _passed(t: Table) -> Iterator[pa.RecordBatch]:
     yield from _sent(1, {k: t[k] for k in PLACE} | {"end": t["windows"]})
 
 
-def _cut(powers: Powers) -> Callable:
-    """Texts with their open stretches: the bytes of each, or its windows where the anchor is hot."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = _Merger()
-        for b in batches:
-            for id_, mark, text, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), b.column(3).to_pylist(), strict=True):
-                t = {k: np.array([x[k] for x in found], np.int64) for k in ("anchor", "start", "windows", "lead", "hot")}
-                t["text"] = np.array([text[s : s + n - 1 + WINDOW] for s, n in zip(t["start"].tolist(), t["windows"].tolist(), strict=True)] + [None], object)[:-1]
-                t = _placed(t, id_, mark)
-                hot = t.pop("hot") == 1
-                yield from _sent(3, rows(t, ~hot))
-                if hot.any():
-                    yield from merger.add(single_windows(rows(t, hot), powers))
-        yield from merger.flush()
-
-    return run
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with their open stretches to the bytes of each, in parts where the anchor is hot."""
+    parts = _Parts()
+    for b in batches:
+        for id_, mark, text, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), b.column(3).to_pylist(), strict=True):
+            t = {k: np.array([x[k] for x in found], np.int64) for k in ("anchor", "start", "windows", "lead", "hot")}
+            t["text"] = np.array([text[s : s + n - 1 + WINDOW] for s, n in zip(t["start"].tolist(), t["windows"].tolist(), strict=True)] + [None], object)[:-1]
+            t = _placed(t, id_, mark)
+            hot = t.pop("hot") == 1
+            yield from _sent(3, rows(t, ~hot))
+            if hot.any():
+                yield from parts.add(cut_up(rows(t, hot)))
+    yield from parts.flush()
 
 
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Second step: shared windows of open stretches, and later copies of single windows."""
-    got = _received(batches, (0, 1, 3))
-    _, late = merged(got[0])
-    yield from _sent(1, spans_of(late))
+    """Second step: shared windows of open stretches."""
+    got = _received(batches, (1, 3))
     yield from _passed(got[1])
     t = got[3]
     t = rows(t, np.argsort(t["anchor"], kind="stable"))
@@ -316,25 +356,38 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = high
 
 
+def _marked(docs: DataFrame, work: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (id, text) with ``mark``, which tells rows of one id apart and is 0 where an id has one row; and each distinct row once."""
+    several = work.keep(docs.groupBy("id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("id"))
+    alone = docs.withColumn("mark", F.lit(0).cast("long"))
+    if several.isEmpty():
+        return alone, alone
+    several = F.broadcast(several) if small(several, PICKED) else several
+    among = docs.join(several, "id", "left_semi").withColumn("mark", F.xxhash64("text"))
+    alone = alone.join(several, "id", "left_anti")
+    once = among.groupBy("id", "mark").agg(F.first("text").alias("text")).select("id", "text", "mark")
+    return alone.unionByName(among), alone.unionByName(once)
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(id, mark, text, spans): the rows of ``docs`` (id, mark, text) with the byte spans [start, end) that repeat earlier ones."""
+    """(id, mark, text, spans): the rows of ``docs`` (id, text) with the byte spans [start, end) that repeat earlier ones."""
     spark = docs.sparkSession
     work = Scratch(spark, "suffixes")
     bounded_batches(spark)
     powers = Powers()
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // DEALT))
-    dealt = docs.mapInArrow(_read(powers), SCHEMA).repartition(parts, "anchor")
+    every, once = (x.select("id", "mark", "text") for x in _marked(docs, work))
+    dealt = once.mapInArrow(_read(powers), SCHEMA).repartition(parts, "content")
     settled = work.keep(dealt.mapInArrow(_settle, SCHEMA))
-    open_ = settled.where("kind = 2").select("anchor", "id", "mark", "start", "windows", "lead")
-    hot = open_.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("anchor", F.lit(1).alias("hot"))
-    marked = open_.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
-    by_text = marked.groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "start", "windows", "lead", "hot")).alias("found"))
-    texts = docs.join(by_text, ["id", "mark"]).select("id", "mark", "text", "found")
-    sorted_ = texts.mapInArrow(_cut(powers), SCHEMA).repartition(parts, "anchor").mapInArrow(_sort, SCHEMA)
+    firsts = settled.where("kind = 2").select("anchor", "id", "mark", "start", "windows", "lead")
+    shared = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > HOT).cast("int").alias("hot"))
+    by_text = firsts.join(shared, "anchor").groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "start", "windows", "lead", "hot")).alias("found"))
+    texts = once.join(by_text, ["id", "mark"]).select("id", "mark", "text", "found")
+    sorted_ = texts.mapInArrow(_cut, SCHEMA).repartition(parts, "anchor").mapInArrow(_sort, SCHEMA)
     spans = settled.where("kind = 1").unionByName(sorted_.where("kind = 1"))
     spans = work.keep(spans.groupBy("id", "mark").agg(F.collect_list(F.struct("start", F.col("windows").alias("end"))).alias("spans")))
-    return docs.join(spans, ["id", "mark"], "left")
+    return every.join(spans, ["id", "mark"], "left")
 
 
 def joined_spans(spans: list[dict]) -> list[tuple[int, int]]:
@@ -353,7 +406,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A null id counts as the least.
     """
     lowest = -(1 << 63)
-    docs = df.select(F.coalesce(df[id_col].cast("long"), F.lit(lowest)).alias("id"), F.xxhash64(utf8(text_col)).alias("mark"), utf8(text_col).alias("text"))
+    docs = df.select(F.coalesce(df[id_col].cast("long"), F.lit(lowest)).alias("id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
