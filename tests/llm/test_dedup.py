@@ -212,9 +212,11 @@ def test_suffix_dedup_of_whole_table(spark, corpus):
     assert got == repeats_removed(sorted(corpus.items()))
 
 
-@pytest.mark.parametrize("hot,held,block", [(256, 1 << 21, 1 << 19), (0, 50, 300), (2, 1 << 21, 128)])
-def test_suffix_dedup_of_hard_texts(spark, sf_dir, monkeypatch, hot, held, block):
+@pytest.mark.parametrize("hot,held,block,sampled", [(256, 1 << 21, 1 << 19, 1 / 16), (0, 50, 300, 1.0), (2, 1 << 21, 128, 1.0)])
+def test_suffix_dedup_of_hard_texts(spark, sf_dir, monkeypatch, hot, held, block, sampled):
     monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "SAMPLED", sampled)
+    monkeypatch.setattr(suffixes, "FILLED", 0.0)
     monkeypatch.setattr(suffixes, "HELD", held)
     monkeypatch.setattr(suffixes, "BLOCK", block)
     draw = np.random.default_rng(4)

@@ -62,22 +62,10 @@ def window_hashes(sums: np.ndarray, powers: Powers, start: np.ndarray, end: np.n
     return mix((sums[end] - sums[start]) * powers.down[start] + (end - start).astype(U))
 
 
-def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-    """64 bits of each range of bytes: eight bytes at a time through a chain of bijections, the length first."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    eight = np.ndarray(len(data), "<u8", padded, 0, (1,))
-    size = end - start
-    out = mix(size.astype(U) + U(seed))
-    some = np.arange(len(start))
-    for k in range(0, int(size.max(initial=0)), 8):
-        some = some[size[some] > k]
-        word = eight[start[some] + k]
-        rest = size[some] - k
-        cut = np.flatnonzero(rest < 8)
-        word[cut] &= (U(1) << (rest[cut] * 8).astype(U)) - U(1)
-        h = (out[some] ^ word) * U(0x9E3779B97F4A7C15)
-        out[some] = h ^ (h >> U(29))
-    return mix(out)
+def slice_digests(data: bytes, start: list[int], end: list[int]) -> np.ndarray:
+    """64 bits of a digest of each range of bytes."""
+    digest = hashlib.blake2b
+    return np.frombuffer(b"".join([digest(data[a:z], digest_size=8).digest() for a, z in zip(start, end, strict=True)]), np.int64)
 
 
 def word_lists(data: bytes) -> Iterator[list[bytes]]:

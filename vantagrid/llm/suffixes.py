@@ -11,9 +11,10 @@ come first, neither of which loses a repeat:
 1. Every window has an anchor, the least (leftmost) hash among its runs of ANCHOR
    bytes. Equal windows have equal anchors in equal places. The windows that share an
    anchor follow each other; together they are a stretch of text. A stretch that
-   occurs earlier as a whole (64 bits of hash over all its bytes and 64 over its anchor's)
-   is covered whole, and its first occurrence stands for it. Stretches are dealt by
-   their content, so an anchor that very many different ones share is never in one task.
+   occurs earlier as a whole (64 bits of a digest of all its bytes, and a hash of its
+   anchor's) is covered whole, and its first occurrence stands for it. Stretches are
+   dealt by their anchors, but those of the anchors that would fill a good part of a
+   task, as a sample tells, by their content: other tasks, the same result.
 2. Of the stretches that are left, only those whose anchor another different stretch
    also has can share part of their windows. Their suffixes are sorted byte for byte,
    anchor by anchor. The stretches of an anchor that more than HOT of them share are
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantagrid.llm.common import Scratch, bounded_batches, small
-from vantagrid.llm.hashing import Powers, U, mix, prefix_sums, range_hashes, window_hashes
+from vantagrid.llm.hashing import Powers, U, mix, prefix_sums, slice_digests, window_hashes
 
 #: Bytes of a repeat, and of the runs that anchor windows.
 WINDOW, ANCHOR = 100, 32
@@ -53,6 +54,8 @@ HOT, PARTS, HELD_PARTS = 256, 8, 1 << 17
 DEALT = 48 << 20
 #: Ids that may travel to the scan.
 PICKED = 500_000
+#: Share of the texts, and bytes of them at most, that tell which anchors are dealt by content; what share of a task one must fill.
+SAMPLED, SAMPLED_BYTES, FILLED = 1 / 16, 64 << 30, 1 / 4
 
 
 def anchors(data: np.ndarray, powers: Powers, window: int = WINDOW, size: int = ANCHOR) -> np.ndarray:
@@ -84,8 +87,8 @@ def stretches(text: bytes, powers: Powers, window: int = WINDOW) -> Table:
         spot = where[begin]
         parts.append(
             {
-                "anchor": range_hashes(data, spot, spot + ANCHOR).view(np.int64),
-                "content": (range_hashes(data, begin, end - 1 + window, 1) + (spot - begin).astype(U)).view(np.int64),
+                "anchor": window_hashes(prefix_sums(data, powers), powers, spot, spot + ANCHOR).view(np.int64),
+                "content": slice_digests(text, (begin + low).tolist(), (end + (low + window - 1)).tolist()),
                 "start": begin + low,
                 "windows": end - begin,
                 "lead": spot - begin,
@@ -192,11 +195,11 @@ def cut_up(t: Table, window: int = WINDOW) -> Table:
     windows = top - bottom + 1
     texts = t["text"][own].tolist()
     out = {k: t[k][own] for k in ("id", "mark")} | {"start": t["start"][own] + skip, "windows": windows, "lead": top}
-    data = np.frombuffer(b"".join(t["text"].tolist()), np.uint8)
+    data = b"".join(t["text"].tolist())
     size = t["windows"] + window - 1
     # the anchor is ``lead`` behind the stretch's begin; a part's common bytes begin part * wide before it
     core = (np.cumsum(size) - size)[own] + high[own] - part * wide
-    out["anchor"] = (range_hashes(data, core, core + window - wide + 1, 2) + part.astype(U)).view(np.int64)
+    out["anchor"] = slice_digests(data, core.tolist(), (core + window - wide + 1).tolist()) + part
     cuts = zip(texts, skip.tolist(), (skip + windows - 1 + window).tolist(), strict=True)
     out["text"] = np.array([x[a:z] for x, a, z in cuts] + [None], object)[:-1]
     return out
@@ -230,7 +233,8 @@ class _Parts:
         self.held, self.count = [], 0
 
 
-# Rows between tasks: kind 0 a stretch, 1 a span that goes, 2 a stretch's first occurrence, 3 one that others share in part, with its bytes.
+# Rows between tasks: kind 0 a stretch, 1 a span that goes, 2 a stretch that others share in part, 3 that with its bytes,
+# 4 a stretch that is dealt by its content, 5 as 2, of a hot anchor.
 _FIELDS = {"kind": "int", "anchor": "long", "content": "long", "id": "long", "mark": "long", "start": "int", "windows": "int", "lead": "int", "text": "binary"}
 SCHEMA = ", ".join(f"{k} {v}" for k, v in _FIELDS.items())
 _TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
@@ -240,8 +244,7 @@ def _sent(kind: int, t: Table) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow; a span's end travels as ``windows``, its key is spread by place."""
     n = len(t["start"])
     if kind == 1:
-        spread = mix(t["id"].view(U) + t["start"].view(U)).view(np.int64)
-        t = t | {"windows": t["end"], "anchor": spread, "content": spread}
+        t = t | {"windows": t["end"], "anchor": mix(t["id"].view(U) + t["start"].view(U)).view(np.int64)}
     for at in range(0, n, 1 << 16):
         part = slice(at, at + (1 << 16))
         size = min(n - at, 1 << 16)
@@ -275,7 +278,8 @@ def _received(batches: Iterator[pa.RecordBatch], kinds: tuple[int, ...]) -> dict
 class _Merger:
     """Holds stretches as they are read and lets go of copies; what goes and what stays comes out as rows."""
 
-    def __init__(self):
+    def __init__(self, by_content: np.ndarray):
+        self.by_content = by_content
         self.held: list[Table] = []
         self.count = 0
 
@@ -289,7 +293,9 @@ class _Merger:
         if self.count:
             first, late = merged(stacked(self.held, STRETCH))
             yield from _sent(1, spans_of(late))
-            yield from _sent(0, first)
+            apart = np.isin(first["anchor"], self.by_content)
+            yield from _sent(0, rows(first, ~apart))
+            yield from _sent(4, rows(first, apart))
         self.held, self.count = [], 0
 
 
@@ -298,9 +304,9 @@ def _placed(t: Table, id_: int, mark: int) -> Table:
     return t | {"id": np.full(n, id_), "mark": np.full(n, mark)}
 
 
-def _read(powers: Powers) -> Callable:
+def _read(powers: Powers, by_content: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = _Merger()
+        merger = _Merger(by_content)
         for b in batches:
             for id_, mark, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
                 if len(text) >= WINDOW:
@@ -310,14 +316,23 @@ def _read(powers: Powers) -> Callable:
     return run
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First step: later copies of stretches go, firsts are handed on."""
-    got = _received(batches, (0, 1))
-    first, late = merged(got[0])
-    yield from _sent(1, spans_of(late))
-    del first["content"]
-    yield from _sent(2, first)
-    yield from _passed(got[1])
+def _settle(hot: int) -> Callable:
+    """First step: later copies of stretches go; firsts whose anchor has other stretches are handed on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = _received(batches, (0, 1, 4))
+        first, late = merged(got[0])
+        yield from _sent(1, spans_of(late))
+        nth = np.cumsum(changes(first["anchor"]))
+        n = np.bincount(nth)[nth] if len(nth) else nth
+        yield from _sent(2, rows(first, (n > 1) & (n <= hot)))
+        yield from _sent(5, rows(first, (n > 1) & (n > hot)))
+        first, late = merged(got[4])
+        yield from _sent(1, spans_of(late))
+        yield from _sent(5, first)
+        yield from _passed(got[1])
+
+    return run
 
 
 def _passed(t: Table) -> Iterator[pa.RecordBatch]:
@@ -369,6 +384,39 @@ def _marked(docs: DataFrame, work: Scratch) -> tuple[DataFrame, DataFrame]:
     return alone.unionByName(among), alone.unionByName(once)
 
 
+def _counted(powers: Powers) -> Callable:
+    """(anchor, n): how many different stretches a task meets of each anchor that has several."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, [("anchor", np.int64), ("content", np.int64)])]
+        for b in batches:
+            for text in b.column(0).cast(pa.binary()).to_pylist():
+                t = stretches(text, powers)
+                one = np.empty(len(t["start"]), held[0].dtype)
+                one["anchor"], one["content"] = t["anchor"], t["content"]
+                held.append(one)
+            if sum(map(len, held)) >= HELD:
+                held = [np.unique(np.concatenate(held))]
+        anchor, n = np.unique(np.unique(np.concatenate(held))["anchor"], return_counts=True)
+        several = n > 1
+        yield pa.RecordBatch.from_arrays([pa.array(anchor[several]), pa.array(n[several])], ["anchor", "n"])
+
+    return run
+
+
+def _dealt_by_content(docs: DataFrame, size: int, parts: int, powers: Powers) -> np.ndarray:
+    """Anchors whose different stretches would fill a good part of a task, by a sample of the texts: at most 1 / FILLED for each task.
+
+    Only where rows are dealt depends on them.
+    """
+    share = min(SAMPLED, SAMPLED_BYTES / max(size, 1))
+    # a stretch has about as many windows as bytes before the next anchor
+    enough = size / ((WINDOW - ANCHOR) / 2) / parts * FILLED * share
+    counts = docs.select("text").sample(share, 11).mapInArrow(_counted(powers), "anchor long, n long")
+    found = counts.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= max(enough, 8)).select("anchor").collect()
+    return np.array([r.anchor for r in found], np.int64)
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(id, mark, text, spans): the rows of ``docs`` (id, text) with the byte spans [start, end) that repeat earlier ones."""
     spark = docs.sparkSession
@@ -378,11 +426,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // DEALT))
     every, once = (x.select("id", "mark", "text") for x in _marked(docs, work))
-    dealt = once.mapInArrow(_read(powers), SCHEMA).repartition(parts, "content")
-    settled = work.keep(dealt.mapInArrow(_settle, SCHEMA))
-    firsts = settled.where("kind = 2").select("anchor", "id", "mark", "start", "windows", "lead")
-    shared = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > HOT).cast("int").alias("hot"))
-    by_text = firsts.join(shared, "anchor").groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "start", "windows", "lead", "hot")).alias("found"))
+    by_content = _dealt_by_content(once, size, parts, powers)
+    key = F.when(F.col("kind") == 4, F.col("content")).otherwise(F.col("anchor"))
+    settled = work.keep(once.mapInArrow(_read(powers, by_content), SCHEMA).repartition(parts, key).mapInArrow(_settle(HOT), SCHEMA))
+    stretch = F.struct("anchor", "start", "windows", "lead", (F.col("kind") == 5).cast("int").alias("hot"))
+    by_text = settled.where("kind IN (2, 5)").groupBy("id", "mark").agg(F.collect_list(stretch).alias("found"))
     texts = once.join(by_text, ["id", "mark"]).select("id", "mark", "text", "found")
     sorted_ = texts.mapInArrow(_cut, SCHEMA).repartition(parts, "anchor").mapInArrow(_sort, SCHEMA)
     spans = settled.where("kind = 1").unionByName(sorted_.where("kind = 1"))
