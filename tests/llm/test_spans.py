@@ -109,6 +109,38 @@ def test_a_disclosing_term_is_cleaned_wherever_it_stands(spark, documents):
     assert all(clean[k] is None for k in range(9, 130))
 
 
+def test_rare_entities_and_long_words(spark, documents):
+    # one document names its entity on two lines, beside words of any length
+    long = "x" * 200
+    texts = [f"by Stratfordville {long} for a@b.cd today\nthen stratfordville {long} wrote a@b.cd again"]
+    texts += ["Stratfordville is mentioned", "by now it came for them today"] + ["then they wrote again by the way"] * 60
+    rows = pii.personal_spans(documents(list(enumerate(texts)))).collect()
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in rows}
+    assert got[0] == [(k, v) for line in ("Stratfordville", "stratfordville") for k, v in (("remove" if got[1][0][0] == "remove" else "general", line), ("remove", long), ("email", "a@b.cd"))]
+    assert [v for _, v in got[1]] == ["Stratfordville"] and not any(got[k] for k in range(2, len(texts)))
+    clean = {r.doc_id: r.clean for r in pii.sanitised(documents(list(enumerate(texts)))).collect()}
+    assert clean[1] in (" is mentioned", "[Name] is mentioned")
+    # a copy of a line is no second meeting
+    twice = [texts[0].split("\n")[0]] * 2 + texts[2:]
+    assert all(s.rank < pii.BASE for r in pii.personal_spans(documents(list(enumerate(twice)))).collect() for s in r.spans)
+
+
+def test_generalised_terms_show_their_shape(spark, documents):
+    texts = [f"{w} wrote a{k % 2}@b.cd on day {k} of {k}" for k, w in enumerate(["Zorblax", "zorblax"] * 8)] + [f"nothing {k} here" for k in range(300)]
+    clean = {r.doc_id: r.clean for r in pii.sanitised(documents(list(enumerate(texts)))).collect()}
+    kinds = {s.kind for r in pii.personal_spans(documents(list(enumerate(texts)))).collect() for s in r.spans if s.value == "zorblax"}
+    assert kinds == {"general"} and clean[0].startswith("[Name] ") and clean[1].startswith("[word] ") and clean[20] is None
+
+
+def test_many_matches_in_one_text(spark, documents):
+    words = [f"w{k} p{k}@b{k % 50}.cd 10.0.{k % 200}.7; 4111 1111 1111 1111," for k in range(3000)]
+    for text in (" ".join(words), "\n".join(words)):
+        row = pii.personal_spans(documents([(1, text)])).first()
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in row.spans if s.rank < pii.BASE] == spans(PRIVATE, text)
+        clean = pii.sanitised(documents([(1, text)])).first().clean
+        assert clean.split()[:4] == ["w0", "[EMAIL]", "[IP];", "[CARD],"] and clean.count("[EMAIL]") == 3000 and "@" not in clean
+
+
 def test_terms_against_sql(spark, sf_dir):
     import duckdb
 

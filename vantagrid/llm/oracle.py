@@ -41,6 +41,15 @@ _SECRET = " UNION ALL ".join(
 )
 
 
+def _places(text: str, source: str, keys: str) -> str:
+    """Words of three letters or more with their places, by running sums: for texts of many words."""
+    pattern = r"\p{L}{3,}"
+    return f"""SELECT {keys}, v, CAST(q + before AS BIGINT) AS s, CAST(q + before + length(v) AS BIGINT) AS e FROM (
+  SELECT {keys}, v, sum(length(p)) OVER (PARTITION BY {keys} ORDER BY i) AS q, coalesce(sum(length(v)) OVER (PARTITION BY {keys} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (
+    SELECT {keys}, unnest(m) AS v, unnest(p[1:len(m)]) AS p, generate_subscripts(m, 1) AS i FROM (
+      SELECT {keys}, regexp_extract_all({text}, '{pattern}') AS m, string_split_regex({text}, '{pattern}') AS p FROM {source})))"""
+
+
 def _digest(kinds: list[str]) -> str:
     """The contract's columns of a table ``spans`` (doc_id, k, kind, s, e)."""
     shown = "kind || ':' || s || ':' || e"
@@ -51,31 +60,46 @@ def _digest(kinds: list[str]) -> str:
 FROM documents d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id"""
 
 
-#: Words within six of an entity on its line; documents with word, entity, and both; share of the entity's information.
+#: Words that stand within six words of an entity, on its line; documents with word, entity, and both; share of the
+#: entity's information; then every place of such a word, and the text without them.
 OP1_SQL = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), base AS ({_PRIVATE}),
+ents AS (SELECT *, kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN {_DIGITS} ELSE lower(v) END AS ent FROM base),
+lines AS (
+  SELECT doc_id, line, ln, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM docs SEMI JOIN base USING (doc_id))
+), words AS ({_places("line", "lines", "doc_id, ln, off, line")}),
+apart AS (SELECT doc_id, ln, line, lower(v) AS term, off + s AS s, off + e AS e FROM words w WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.e > off + w.s AND b.s < off + w.e)),
+placed AS (SELECT x.doc_id, ln, k, s, e, ent FROM ents x JOIN lines l ON l.doc_id = x.doc_id AND x.s >= off AND x.s < off + length(line)),
 sides AS (
-  SELECT b.doc_id, b.s AS bs, b.kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN {_DIGITS} ELSE lower(v) END AS ent, side,
-    CASE WHEN side = 0 THEN string_split(substr(text, CAST(greatest(b.s - 120, 0) AS BIGINT) + 1, CAST(b.s - greatest(b.s - 120, 0) AS BIGINT)), chr(10))[-1]
-         ELSE string_split(substr(text, CAST(b.e AS BIGINT) + 1, 120), chr(10))[1] END AS piece, b.e AS be
-  FROM base b JOIN docs USING (doc_id) CROSS JOIN (VALUES (0), (1)) t(side)
-), words AS ({_located("word", 0, r"\p{L}{3,}", "true", "piece", "sides", "doc_id, bs, ent, side, piece, be")}),
-near AS (
-  SELECT doc_id, ent, lower(v) AS term, off + s AS s, off + e AS e FROM (
-    SELECT *, CASE WHEN side = 0 THEN bs - length(piece) ELSE be END AS off,
-      row_number() OVER (PARTITION BY doc_id, bs, ent, side ORDER BY CASE WHEN side = 0 THEN -s ELSE s END) AS nth FROM words) WHERE nth <= 6
-), apart AS (SELECT * FROM near n WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = n.doc_id AND b.e > n.s AND b.s < n.e)),
-joint AS (SELECT ent, term, count(DISTINCT doc_id) AS j FROM apart GROUP BY ALL HAVING j >= 3),
-ents AS (SELECT ent, count(DISTINCT doc_id) AS ne FROM apart GROUP BY ent),
-terms AS (SELECT word AS term, count(*) AS nt FROM (SELECT unnest(list_distinct(string_split_regex(lower(text), '[^\\p{{L}}]+'))) AS word FROM docs) GROUP BY 1),
+  SELECT p.doc_id, p.ent, a.term, a.line, row_number() OVER (PARTITION BY p.doc_id, p.k, p.s ORDER BY a.s DESC) AS nth FROM placed p JOIN apart a ON a.doc_id = p.doc_id AND a.ln = p.ln AND a.e <= p.s
+  UNION ALL
+  SELECT p.doc_id, p.ent, a.term, a.line, row_number() OVER (PARTITION BY p.doc_id, p.k, p.s ORDER BY a.s) FROM placed p JOIN apart a ON a.doc_id = p.doc_id AND a.ln = p.ln AND a.s >= p.e
+), joint AS (SELECT ent, term, count(DISTINCT doc_id) AS j FROM sides WHERE nth <= 6 GROUP BY ALL HAVING j >= 3 OR count(DISTINCT line) >= 2),
+entities AS (SELECT ent, count(DISTINCT doc_id) AS ne FROM ents GROUP BY ent),
+held AS (SELECT DISTINCT doc_id, unnest(list_transform(string_split_regex(text, '[^\\p{{L}}]+'), lambda x: lower(x))) AS term FROM docs),
+terms AS (SELECT term, count(*) AS nt FROM held GROUP BY 1),
 told AS (
-  SELECT ent, term, ln(n * j / (nt * ne)) / ln(n / ne) AS share
-  FROM joint JOIN ents USING (ent) JOIN terms USING (term) CROSS JOIN (SELECT CAST(greatest(count(*), 2) AS DOUBLE) AS n FROM docs) WHERE ne < n
+  SELECT term, max(share) AS share FROM (
+    SELECT term, ln(n * j / (nt * ne)) / ln(n / ne) AS share
+    FROM joint JOIN entities USING (ent) JOIN terms USING (term) CROSS JOIN (SELECT CAST(greatest(count(*), 2) AS DOUBLE) AS n FROM docs) WHERE ne < n
+  ) WHERE share >= 0.75 GROUP BY term
+), texts AS (SELECT doc_id, text FROM docs WHERE doc_id IN (SELECT doc_id FROM held JOIN told USING (term))
+), every AS ({_places("text", "texts", "doc_id")}
 ), extra AS (
-  SELECT doc_id, CASE WHEN max(share) >= 0.95 THEN 4 ELSE 5 END AS k, CASE WHEN max(share) >= 0.95 THEN 'remove' ELSE 'general' END AS kind, s, e
-  FROM apart JOIN told USING (ent, term) WHERE share >= 0.75 GROUP BY doc_id, s, e, term
-), spans AS (SELECT doc_id, k, kind, s, e FROM base UNION ALL SELECT doc_id, k, kind, s, e FROM extra)
-{_digest(["email", "ip", "card", "phone"])}"""
+  SELECT doc_id, CASE WHEN share >= 0.95 THEN 4 ELSE 5 END AS k, CASE WHEN share >= 0.95 THEN 'remove' ELSE 'general' END AS kind, s, e, v
+  FROM every w JOIN told ON lower(v) = term WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.e > w.s AND b.s < w.e)
+), spans AS (SELECT doc_id, k, kind, s, e, v FROM base UNION ALL SELECT doc_id, k, kind, s, e, v FROM extra),
+digests AS ({_digest(["email", "ip", "card", "phone"])}),
+lists AS (
+  SELECT doc_id, list({{'s': CAST(s AS BIGINT), 'e': CAST(e AS BIGINT), 'r': CASE WHEN k < 4 THEN '[' || upper(kind) || ']' WHEN k = 4 THEN '' WHEN regexp_matches(v, '^\\p{{Lu}}') THEN '[Name]' ELSE '[word]' END}} ORDER BY s, k) AS l
+  FROM spans GROUP BY doc_id
+), cut AS (
+  SELECT doc_id, text, list_reduce(l, lambda acc, x: CASE WHEN x.s >= acc.e THEN {{'s': acc.s, 'e': x.e, 'r': acc.r || substr(text, acc.e + 1, x.s - acc.e) || x.r}} ELSE acc END, {{'s': 0::BIGINT, 'e': 0::BIGINT, 'r': ''}}) AS z
+  FROM docs JOIN lists USING (doc_id)
+)
+SELECT digests.* EXCLUDE (spans), sha256(CASE WHEN z IS NULL THEN docs.text ELSE z.r || substr(docs.text, z.e + 1) END) AS clean_sha256, digests.spans
+FROM digests JOIN docs USING (doc_id) LEFT JOIN cut USING (doc_id)"""
 
 OP2_SQL = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), spans AS ({_SECRET})
@@ -104,7 +128,7 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root.c, d.doc_id) AS c
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN root ON a = d.doc_id
 """
 
-#: Targets in whole numbers (twice the budget), so that each is rounded once; then the ranks' running sums.
+#: Targets in whole numbers (twice the budget), so that each is rounded once; scales over distinct sizes; the ranks' running sums.
 OP7_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -122,22 +146,32 @@ WITH d AS (
   FROM levels LEFT JOIN open ON true
 ), targets AS (
   SELECT source, n, CAST(t AS DOUBLE) / CAST(q AS DOUBLE) AS target, CASE WHEN n = 0 THEN 0 ELSE t // (q * n) END AS whole,
-    CASE WHEN n = 0 THEN 0.0 ELSE CAST(t - t // (q * n) * q * n AS DOUBLE) / CAST(q * n AS DOUBLE) END AS rate,
     CASE WHEN n = 0 THEN 0.0 ELSE CAST(t - t // (q * n) * q * n AS DOUBLE) / CAST(q AS DOUBLE) END AS rest
   FROM parts
+), sizes AS (SELECT source, size, count(*) AS c FROM d WHERE size > 0 GROUP BY source, size
+), levels2 AS (
+  SELECT z.source, size, rest,
+    coalesce(sum(c * size) OVER (PARTITION BY z.source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above,
+    sum(c * size * size) OVER (PARTITION BY z.source ORDER BY size DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS squares
+  FROM sizes z JOIN targets t ON z.source IS NOT DISTINCT FROM t.source WHERE rest > 0
+), scaled AS (SELECT source, size, (rest - CAST(above AS DOUBLE)) / CAST(squares AS DOUBLE) AS scale FROM levels2
+), scales AS (SELECT source AS s, max(size) AS most, max_by(scale, size) AS scale FROM scaled WHERE scale * size < 1 GROUP BY source
 ), odds AS (
-  SELECT doc_id, d.source, size, n, target, whole, rest, CASE WHEN size > 0 AND rate > 0 AND rate < 1 THEN (u / (1 - u)) / (rate / (1 - rate)) END AS o
-  FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
-), ranked AS (SELECT *, CAST(floor(o / (1 + o) * 281474976710656.0) AS BIGINT) AS rnk FROM odds
-), sums AS (SELECT source, rnk, any_value(rest) AS rest, sum(size) AS words FROM ranked WHERE rnk IS NOT NULL GROUP BY source, rnk
+  SELECT doc_id, d.source, size, u, n, target, whole, rest, most, scale, scale * size AS p
+  FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN scales ON d.source IS NOT DISTINCT FROM s
+), pareto AS (SELECT *, CASE WHEN p > 0 AND p < 1 THEN (u / (1 - u)) / (p / (1 - p)) END AS o FROM odds
+), ranked AS (
+  SELECT *, CASE WHEN size = 0 OR rest <= 0 THEN NULL WHEN size > most THEN 0 WHEN p > 0 THEN greatest(CAST(floor(o / (1 + o) * 281474976710656.0) AS BIGINT), 1) END AS rnk FROM pareto
+), sums AS (SELECT source, rnk, any_value(rest) AS rest, sum(size) AS words, count(*) AS tied FROM ranked WHERE rnk IS NOT NULL GROUP BY source, rnk
 ), runs AS (
   SELECT *, sum(words) OVER (PARTITION BY source ORDER BY rnk) AS upto, row_number() OVER (PARTITION BY source ORDER BY rnk DESC) AS last FROM sums
 ), cuts AS (
-  SELECT source, CASE WHEN upto - rest <= rest - (upto - words) THEN rnk ELSE rnk - 1 END AS cut FROM runs
+  SELECT source, rnk AS cut, least(floor((rest - (upto - words)) * tied / words + 0.5), tied) AS take FROM runs
   WHERE upto - words < rest AND (upto >= rest OR last = 1)
+), numbered AS (SELECT *, row_number() OVER (PARTITION BY source, rnk ORDER BY doc_id) AS nth FROM ranked
 ), taken AS (
-  SELECT r.*, CASE WHEN size > 0 THEN CAST(whole AS INT) + CASE WHEN coalesce(rnk <= cut, false) THEN 1 ELSE 0 END ELSE 0 END AS copies
-  FROM ranked r LEFT JOIN cuts c ON r.source IS NOT DISTINCT FROM c.source
+  SELECT r.*, CASE WHEN size > 0 THEN CAST(whole AS INT) + CASE WHEN coalesce(rnk < cut OR rnk = cut AND nth <= take, false) THEN 1 ELSE 0 END ELSE 0 END AS copies
+  FROM numbered r LEFT JOIN cuts c ON r.source IS NOT DISTINCT FROM c.source
 )
 SELECT doc_id, size, n AS source_size, target, size * copies AS taken, source, copies FROM taken"""
 

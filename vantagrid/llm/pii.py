@@ -7,30 +7,37 @@ documents, as a share of the entity's own information content,
 
     log(N * n(t, e) / (n(t) * n(e))) / log(N / n(e)),
 
-where n counts documents, and n(t, e) those in which the term stands within WINDOW
-words of the entity on its line. Terms that recur with an entity and tell at least
-``GENERALISE`` of it are generalised; from ``REMOVE`` on they are removed.
+where n counts documents, and n(t, e) those in which the term is one of the WINDOW words
+outside of spans on either side of the entity, on its line. One meeting is no evidence:
+term and entity must meet in SUPPORT documents, or on LINES lines of different text, of
+one document or of several, so that an entity of a single document can have such terms.
+Terms that tell at least ``GENERALISE`` of an entity are generalised, from ``REMOVE`` on
+removed, wherever they stand in any text.
 
 DataFrame functions only. Null and empty texts have no spans; a repeated row is a
-document of its own in the counts and repeats its result; texts of any length are
-read whole; an empty table gives an empty result; other columns are not read.
+document of its own in the counts and repeats its result; texts of any length, with any
+number of matches, are read whole; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from vantagrid.llm.columns import let, located
-from vantagrid.llm.common import Scratch, utf8
+from vantagrid.llm.columns import between, chunked, folded, let, located
+from vantagrid.llm.common import Scratch, small
 
 #: Base kinds in their order; the method's kinds follow them.
 KINDS = ("email", "ip", "card", "phone", "remove", "general")
 BASE = 4
-#: Words on each side of an entity that may tell of it, and how far in characters they are looked for.
-WINDOW, REACH = 6, 120
-#: Documents in which term and entity must meet; shares of an entity's information that a term may tell.
-SUPPORT, GENERALISE, REMOVE = 3, 0.75, 0.95
+#: Words on each side of an entity that may tell of it.
+WINDOW = 6
+#: Documents in which term and entity must meet, or else different lines; shares of an entity's information that a term may tell.
+SUPPORT, LINES, GENERALISE, REMOVE = 3, 2, 0.75, 0.95
+#: Terms and texts' keys that may be broadcast.
+PICKED = 500_000
 
 # Possessive quantifiers and the guards in front keep matching linear and change no match:
 # a try from inside a run fails or succeeds as the try from the run's begin does.
@@ -97,95 +104,123 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), plain)
 
 
+def _apart(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of ``rows`` (keys, words, spans): (keys, start, end, value, entity, nth): the words outside of spans, numbered by place, and the spans, each with the number of the word before; by sorting, within one text or line."""
+    null = F.lit(None).cast("string")
+    word = lambda w: F.struct(w["start"].alias("start"), F.lit(1).alias("word"), w["end"].alias("end"), w["value"].alias("value"), null.alias("entity"))
+    span = lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("word"), s["end"].alias("end"), s["value"].alias("value"), entity(s).alias("entity"))
+    both = rows.select(*keys, F.explode(F.concat(F.transform("spans", span), F.transform("words", word))).alias("x")).select(*keys, "x.*")
+    so_far = Window.unboundedPreceding
+    order = Window.partitionBy(*keys).orderBy("start", "word")
+    # from behind, as a frame up to the end would be gone through anew for each row
+    back = Window.partitionBy(*keys).orderBy(F.col("start").desc(), F.col("word").desc())
+    follows = F.min(F.when(F.col("word") == 0, F.col("start"))).over(back.rowsBetween(so_far, -1))
+    reached = F.max(F.when(F.col("word") == 0, F.col("end"))).over(order.rowsBetween(so_far, -1))
+    both = both.withColumn("follows", follows).withColumn("reached", reached)
+    free = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & F.coalesce(F.col("follows") >= F.col("end"), F.lit(True))
+    both = both.withColumn("free", free).where("word = 0 OR free")
+    return both.select(*keys, "start", "end", "value", "entity", F.sum("word").over(order.rowsBetween(so_far, 0)).alias("nth"))
+
+
 def _nearby(found: DataFrame) -> DataFrame:
-    """(row, entity, term, start, end): words within WINDOW words of a base span, on its line."""
-
-    def sides(span: Column) -> Column:
-        low = F.greatest(span["start"] - REACH, F.lit(0))
-        before = F.substr(F.col("text"), low + 1, span["start"] - low)
-        after = F.substr(F.col("text"), span["end"] + 1, F.lit(REACH))
-        line = F.substring_index(before, "\n", -1)
-        return F.array(
-            F.struct(entity(span).alias("entity"), F.lit(True).alias("left"), (span["start"] - F.length(line)).alias("offset"), line.alias("piece")),
-            F.struct(entity(span).alias("entity"), F.lit(False).alias("left"), span["end"].alias("offset"), F.substring_index(after, "\n", 1).alias("piece")),
-        )
-
-    pieces = found.where(F.size("spans") > 0).select("row", "spans", F.explode(F.flatten(F.transform("spans", sides))).alias("p"))
-    words = located(F.col("p.piece"), _TERM, lambda value: F.lit(True))
-    near = F.when(F.col("p.left"), F.slice(F.reverse("words"), 1, WINDOW)).otherwise(F.slice("words", 1, WINDOW))
-    rows = pieces.withColumn("words", words).select("row", "spans", "p", F.explode(near).alias("w"))
-    rows = rows.select("row", "spans", F.col("p.entity").alias("entity"), F.lower("w.value").alias("term"), (F.col("p.offset") + F.col("w.start")).alias("start"), (F.col("p.offset") + F.col("w.end")).alias("end"))
-    apart = F.forall("spans", lambda s: (s["end"] <= F.col("start")) | (s["start"] >= F.col("end")))
-    return rows.where(apart).drop("spans")
-
-
-def disclosing_terms(docs: DataFrame, near: DataFrame, n_docs: int) -> DataFrame:
-    """(entity, term, share) of the terms that tell at least GENERALISE of an entity."""
-    met = near.select("row", "entity", "term").distinct()
-    joint = met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_joint")).where(F.col("n_joint") >= SUPPORT)
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    terms = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_term"))
-    both = joint.join(entities, "entity").join(terms, joint["term"] == terms["word"])
-    n = F.lit(float(max(n_docs, 2)))
+    """(row, context, entity, term): words within WINDOW words of a base span, on its line; ``context`` is a hash of the line."""
+    # no base span crosses a line
+    lines = found.where(F.size("spans") > 0).select("row", F.explode(located(F.col("text"), "[^\\n]+", lambda value: F.lit(True))).alias("line"))
+    lines = lines.select("row", F.col("line.start").alias("line"), F.col("line.value").alias("value"))
+    lines = lines.withColumn("spans", base_spans(F.col("value"))).where(F.size("spans") > 0)
+    lines = lines.select("row", "line", F.xxhash64("value").alias("context"), "spans", located(F.col("value"), _TERM, lambda value: F.lit(True)).alias("words"))
+    rows = _apart(lines, ["row", "line", "context"])
+    wanted = F.sequence(F.col("nth") - (WINDOW - 1), F.col("nth") + WINDOW)
+    spans = rows.where(F.col("entity").isNotNull()).select("row", "line", "entity", F.explode(wanted).alias("nth"))
+    words = rows.where(F.col("entity").isNull()).select("row", "line", "context", F.lower("value").alias("term"), "nth")
+    return spans.join(words, ["row", "line", "nth"]).select("row", "context", "entity", "term")
+
+
+def _picked(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if small(keys, PICKED) else keys
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, work: Scratch) -> DataFrame:
+    """(term, share): terms that tell at least GENERALISE of any entity, and the most they tell."""
+    near = work.keep(_nearby(found))
+    joint = near.groupBy("entity", "term").agg(F.count_distinct("row").alias("n_joint"), F.count_distinct("context").alias("lines"))
+    joint = work.keep(joint.where((F.col("n_joint") >= SUPPORT) | (F.col("lines") >= LINES)).drop("lines"))
+    values = F.array_distinct(F.transform("spans", entity))
+    entities = found.where(F.size("spans") > 0).select(F.explode(values).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    terms = _words_of(docs, _picked(work.keep(joint.select("term").distinct())))
+    terms = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    n = F.lit(float(max(found.count(), 2)))
     told = F.log(n * F.col("n_joint") / (F.col("n_term") * F.col("n_entity")))
     share = told / F.log(n / F.col("n_entity"))
-    return both.where(F.col("n_entity") < n).select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
+    both = joint.join(entities, "entity").join(terms, "term").where(F.col("n_entity") < n).withColumn("share", share)
+    return both.where(F.col("share") >= GENERALISE).groupBy("term").agg(F.max("share").alias("share"))
 
 
-def _everywhere(found: DataFrame, told: DataFrame) -> DataFrame:
-    """(row, start, end, term, share): every place of a term that tells of any entity, in all texts, outside base spans."""
-    shares = told.groupBy("term").agg(F.max("share").alias("share"))
+def _words_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(id, mark, term) of every document and each of the ``terms`` (term) that it holds."""
     words = F.array_distinct(F.transform(F.split("text", r"[^\p{L}]+"), F.lower))
-    held = found.select("row", F.explode(words).alias("term")).join(shares, "term").groupBy("row")
-    texts = found.join(held.agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares")), "row")
-    places = located(F.col("text"), _TERM, lambda value: F.map_contains_key("shares", F.lower(value)))
-    rows = texts.select("row", "spans", "shares", F.explode(places).alias("w")).withColumn("term", F.lower("w.value"))
-    rows = rows.where(F.forall("spans", lambda s: (s["end"] <= F.col("w.start")) | (s["start"] >= F.col("w.end"))))
-    return rows.select("row", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "term", F.element_at("shares", F.col("term")).alias("share"))
+    return docs.select("id", "mark", F.explode(words).alias("term")).join(terms, "term", "left_semi")
+
+
+def _everywhere(docs: DataFrame, told: DataFrame, work: Scratch) -> DataFrame:
+    """(id, mark, text, extra): spans of every place of a told term outside base spans, of the texts that have any."""
+    keys = work.keep(_words_of(docs, _picked(told.select("term"))).select("id", "mark").distinct())
+    keys = _picked(keys.toDF("held", "held_mark"))
+    same = docs["id"].eqNullSafe(keys["held"]) & (docs["mark"] == keys["held_mark"])
+    texts = work.keep(docs.join(keys, same, "left_semi").dropDuplicates(["id", "mark"]).withColumn("spans", base_spans(F.col("text"))))
+    rows = texts.select("id", "mark", "spans", located(F.col("text"), _TERM, lambda value: F.lit(True)).alias("words"))
+    rows = _apart(rows, ["id", "mark"]).where(F.col("entity").isNull()).withColumn("term", F.lower("value"))
+    rows = rows.join(_picked(told), "term")
+    rank = F.when(F.col("share") >= REMOVE, 4).otherwise(5)
+    kind = F.when(F.col("share") >= REMOVE, KINDS[4]).otherwise(KINDS[5])
+    span = F.struct("start", rank.alias("rank"), kind.alias("kind"), "end", F.col("term").alias("value"))
+    extra = rows.groupBy("id", "mark").agg(F.collect_list(span).alias("extra")).toDF("found", "found_mark", "extra")
+    same = texts["id"].eqNullSafe(extra["found"]) & (texts["mark"] == extra["found_mark"])
+    return work.keep(texts.join(extra, same).select("id", "mark", "text", "extra"))
 
 
-def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", everywhere: bool = False) -> DataFrame:
-    """(id, text, spans): spans of array<struct<start, rank, kind, end, value>>, one row for each input row.
+def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, sha256, spans): spans of array<struct<start, rank, kind, end, value>>, one row for each input row.
 
-    ``text`` is null where there are no spans. Disclosing terms are marked beside their
-    entities, as the query's SQL has it, or ``everywhere`` in all texts.
+    ``text`` is null where there are no spans; ``sha256`` is the whole text's.
     """
     work = Scratch(df.sparkSession, "pii")
-    docs = df.select(df[id_col].alias("id"), utf8(text_col).alias("text"))
+    text = F.coalesce(df[text_col], F.lit(""))
+    docs = df.select(df[id_col].alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     marked = docs.withColumn("spans", base_spans(F.col("text")))
-    text = F.col("text") if everywhere else F.when(F.size("spans") > 0, F.col("text"))
-    found = work.keep(marked.select(F.monotonically_increasing_id().alias("row"), "id", text.alias("text"), "spans"))
-    near = work.keep(_nearby(found))
-    told = disclosing_terms(docs, near, found.count())
-    rank = F.when(F.col("share") >= REMOVE, 4).otherwise(5)
-    kind = F.when(F.col("share") >= REMOVE, KINDS[4]).otherwise(KINDS[5])
-    if everywhere:
-        hits = _everywhere(found, work.keep(told))
-    else:
-        hits = near.join(told, ["entity", "term"]).groupBy("row", "start", "end", "term").agg(F.max("share").alias("share"))
-    span = F.struct("start", rank.alias("rank"), kind.alias("kind"), "end", F.col("term").alias("value"))
-    extra = hits.groupBy("row").agg(F.collect_list(span).alias("extra"))
-    out = found.join(extra, "row", "left")
-    out = out.withColumn("spans", F.array_sort(F.concat("spans", F.coalesce("extra", F.array().cast(found.schema["spans"].dataType)))))
-    return out.select(F.col("id").alias(id_col), F.when(F.size("spans") > 0, F.col("text")).alias("text"), "spans")
+    text = F.when(F.size("spans") > 0, F.col("text"))
+    found = work.keep(marked.select(F.monotonically_increasing_id().alias("row"), "id", "mark", F.sha2("text", 256).alias("sha256"), text.alias("text"), "spans"))
+    told = work.keep(disclosing_terms(docs, found, work))
+    if told.isEmpty():
+        return found.select(F.col("id").alias(id_col), "text", "sha256", "spans")
+    extra = _everywhere(docs, told, work).toDF("held", "held_mark", "held_text", "extra")
+    out = found.join(extra, found["id"].eqNullSafe(extra["held"]) & (found["mark"] == extra["held_mark"]), "left")
+    spans = F.array_sort(F.concat("spans", F.coalesce("extra", F.array().cast(found.schema["spans"].dataType))))
+    return out.select(F.col("id").alias(id_col), F.coalesce("text", "held_text").alias("text"), "sha256", spans.alias("spans"))
 
 
-def sanitised(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, clean): texts with base spans named by kind, generalised terms by shape, removed terms gone.
+def cleaned(text: Column, spans: Column) -> Column:
+    """A text with base spans named by kind, generalised terms by shape, removed terms gone. Of overlapping spans the first counts."""
 
-    A disclosing term goes wherever it stands, also in texts without the entity. Of overlapping spans the first counts. ``clean`` is null where nothing changes.
-    """
-    found = personal_spans(df, id_col, text_col, everywhere=True)
+    def shown(chunks: Column, p: Column) -> Column:
+        shape = F.when(between(chunks, p["to"], p["to"] + 1).rlike(r"^\p{Lu}"), F.lit("[Name]")).otherwise(F.lit("[word]"))
+        return F.when(p["rank"] < BASE, F.concat(F.lit("["), F.upper(p["kind"]), F.lit("]"))).when(p["rank"] == BASE + 1, shape).otherwise("")
+
+    def first(at: Column, out: Column, s: Column) -> tuple[Column, Column]:
+        piece = F.struct(at.alias("from"), s["start"].alias("to"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("on"))
+        behind = s["start"] >= at
+        return F.when(behind, s["end"]).otherwise(at), F.when(behind, F.concat(out, F.array(piece))).otherwise(out)
 
-    def shown(s: Column) -> Column:
-        first = F.when(s["value"] != F.lower(s["value"]), "Name").otherwise("word")
-        return F.when(s["rank"] < BASE, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(s["kind"] == "general", F.concat(F.lit("["), first, F.lit("]"))).otherwise("")
+    def rebuilt(pieces: Column, chunks: Column) -> Column:
+        parts = F.transform(pieces, lambda p: F.concat(between(chunks, p["from"], p["to"]), shown(chunks, p)))
+        tail = between(chunks, F.coalesce(F.element_at(pieces, -1)["on"], F.lit(0)), F.length(text))
+        return F.concat(F.array_join(parts, ""), tail)
 
-    def step(acc: Column, s: Column) -> Column:
-        grown = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), shown(s)).alias("out"))
-        return F.when(s["start"] >= acc["at"], grown).otherwise(acc)
+    pieces = folded(spans, "struct<from:int,to:int,rank:int,kind:string,on:int>", first)
+    return let(chunked(text), lambda chunks: let(pieces, lambda own: rebuilt(own, chunks)))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, F.length("text"))))
-    return found.select(id_col, F.when(F.size("spans") > 0, clean).alias("clean"))
+
+def sanitised(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, clean): ``cleaned`` texts, null where nothing changes. A disclosing term goes wherever it stands, also in texts without the entity."""
+    found = personal_spans(df, id_col, text_col)
+    return found.select(id_col, F.when(F.size("spans") > 0, cleaned(F.col("text"), F.col("spans"))).alias("clean"))

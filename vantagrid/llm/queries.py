@@ -24,15 +24,18 @@ def kind_is(kinds: list[str]) -> Callable[[Column], Column]:
     return lambda s: s["kind"].isin(kinds)
 
 
-def with_span_digests(df: DataFrame, base: list[str]) -> DataFrame:
-    """doc_id, n_<kind> of each base kind, base_sha256, spans."""
+def with_span_digests(df: DataFrame, base: list[str], *more: Column) -> DataFrame:
+    """doc_id, n_<kind> of each base kind, base_sha256, spans, and more."""
     counts = [F.size(F.filter("spans", kind_is([k]))).cast("long").alias(f"n_{k}") for k in base]
     own = F.filter("spans", kind_is(base))
-    return df.select("doc_id", *counts, F.sha2(joined(own), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return df.select("doc_id", *counts, F.sha2(joined(own), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), *more)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_span_digests(pii.personal_spans(table(spark, sf_dir, "documents")), list(pii.KINDS[: pii.BASE]))
+    """``clean_sha256`` is the digest of the sanitised text."""
+    clean = F.when(F.size("spans") > 0, F.sha2(pii.cleaned(F.col("text"), F.col("spans")), 256)).otherwise(F.col("sha256"))
+    found = pii.personal_spans(table(spark, sf_dir, "documents")).withColumn("clean_sha256", clean)
+    return with_span_digests(found, list(pii.KINDS[: pii.BASE]), F.col("clean_sha256"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
