@@ -1,10 +1,11 @@
 """Document fingerprints by threshold-scaled sketches.
 
 A sketch keeps every hash of a document's word shingles that lies below a fixed
-fraction of the hash range. As the threshold is the same everywhere, the sketch of a
-union is the union of sketches, and containment of a short document in a long one is
-estimated as well as likeness of equals. A text whose sketch would be empty keeps its
-least hash, so that short texts can still be told apart.
+fraction of the hash range. As the threshold is the same everywhere, sketches can be
+merged to the sketch of the union, and containment of a short document in a long one is
+estimated as well as likeness of equals. Where no hash is below the threshold the least
+one stands in, so that short texts can still be told apart; merged with a sketch that
+has some below, it goes. Hashes are compared as unsigned numbers.
 
 DataFrame functions only. Null text counts as empty; an empty text has the empty
 sketch and is like nothing, not even another empty text (likeness 0). Texts with
@@ -46,19 +47,26 @@ def shingle_hashes(words: Column, size: int = SHINGLE) -> Column:
     return F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(1), last), one)).otherwise(F.array().cast("array<bigint>"))
 
 
-def sketch(text: Column, size: int = SHINGLE, zero_bits: int = ZERO_BITS) -> Column:
-    """The kept hashes of a text, in order."""
+def kept(hashes: Column, zero_bits: int = ZERO_BITS) -> Column:
+    """The sketch of a set of hashes, in order: those below the threshold, or the least."""
+    flip = F.lit(-(1 << 63))
 
-    def kept(hashes: Column) -> Column:
+    def of(hashes: Column) -> Column:
         low = F.filter(hashes, lambda h: F.shiftrightunsigned(h, 64 - zero_bits) == 0)
-        return let(low, lambda x: F.when(F.size(x) > 0, F.array_sort(F.array_distinct(x))).when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(x))
+        least = F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(flip))).bitwiseXOR(flip)
+        return let(low, lambda x: F.when(F.size(x) > 0, F.array_sort(F.array_distinct(x))).when(F.size(hashes) > 0, F.array(least)).otherwise(x))
+
+    return let(hashes, of)
 
-    return let(words_of(text), lambda words: let(shingle_hashes(words, size), kept))
+
+def sketch(text: Column, size: int = SHINGLE, zero_bits: int = ZERO_BITS) -> Column:
+    """The sketch of a text's shingles."""
+    return let(words_of(text), lambda words: kept(shingle_hashes(words, size), zero_bits))
 
 
-def merge(a: Column, b: Column) -> Column:
-    """The sketch of two texts together."""
-    return F.array_sort(F.array_union(a, b))
+def merge(a: Column, b: Column, zero_bits: int = ZERO_BITS) -> Column:
+    """The sketch of the shingles of two texts together."""
+    return kept(F.array_union(a, b), zero_bits)
 
 
 def likeness(a: Column, b: Column) -> Column:
