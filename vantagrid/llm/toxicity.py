@@ -34,7 +34,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +54,7 @@ SAMPLE, LENGTH, SENTENCES = 1200, 50_000, 12_000
 #: Log-likelihood ratio a run needs; chance exceeds it once in a million runs.
 EVIDENCE = 24
 #: Words of a sentence that are read together; characters of a word that are; words whose scores a task remembers.
-WIDE, LONG, REMEMBERED = 24, 4096, 400_000
+WIDE, LONG, REMEMBERED = 24, 4096, 300_000
 #: From this score on a document counts as toxic.
 THRESHOLD = 0.7
 #: Cost of the machine's errors; sentences count towards a document's sum from this margin on.
@@ -109,7 +109,7 @@ class Strings:
         at = 0
         while at < len(order):
             high = at + 1
-            while high < len(order) and (high - at + 1) * (int(size[order[high]]) + 2) <= 16384:
+            while high < len(order) and (high - at + 1) * (int(size[order[high]]) + 2) <= 2500:
                 high += 1
             some = order[at:high]
             at = high
@@ -157,9 +157,12 @@ class Kernel:
         for some, own, sub, weight in self.strings.features(words):
             # every subsequence meets the few landmarks that have it
             n = self.count[sub]
-            at = np.repeat(self.begin[sub] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            cell = np.repeat(own * self.m, n) + self.mark[at]
-            value = np.bincount(cell, np.repeat(weight, n) * self.weight[at], minlength=len(some) * self.m)
+            which = np.repeat(np.arange(len(sub)), n)
+            at = (self.begin[sub] - (np.cumsum(n) - n))[which]
+            at += np.arange(len(which))
+            cell = (own * self.m)[which]
+            cell += self.mark[at]
+            value = np.bincount(cell, weight[which] * self.weight[at], minlength=len(some) * self.m)
             out[some] = value.reshape(len(some), self.m)
         return np.minimum(out, 1)
 
@@ -293,6 +296,26 @@ def document_features(margins: np.ndarray, counts: np.ndarray, empty: float) ->
     return out
 
 
+class Words:
+    """What words weigh for one machine. A process remembers those of the machine it used last, from task to task.
+
+    When there are too many, those that were not met since the last time go.
+    """
+
+    def __init__(self):
+        self.of, self.now, self.before = 0, {}, {}
+
+    def ready(self, of: int) -> dict[str, float]:
+        if of != self.of:
+            self.of, self.now, self.before = of, {}, {}
+        elif len(self.now) > REMEMBERED:
+            self.now, self.before = {}, self.now
+        return self.now
+
+
+_WORDS = Words()
+
+
 @dataclass
 class Model:
     """A fitted machine; ``beta`` weighs the landmarks, ``logistic`` the document's features."""
@@ -301,25 +324,27 @@ class Model:
     beta: np.ndarray
     bias: float
     logistic: np.ndarray
-    known: dict[str, float] = field(default_factory=dict)
+    number: int = 0
+
+    def __post_init__(self):
+        self.number = zlib.crc32("\n".join(self.landmarks).encode(), zlib.crc32(self.beta.tobytes()))
 
     @property
     def landmarks(self) -> list[str]:
         return self.kernel.landmarks
 
-    def __getstate__(self):
-        return self.__dict__ | {"known": {}}
-
     def margins(self, found: list[list[str]]) -> np.ndarray:
         """Of sentences that have words."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        known = _WORDS.ready(self.number)
         tokens = [w for s in found for w in s]
-        fresh = sorted({w for w in tokens if w not in self.known})
+        fresh = {w for w in tokens if w not in known}
+        if _WORDS.before:
+            known.update((w, _WORDS.before[w]) for w in fresh if w in _WORDS.before)
+        fresh = sorted(w for w in fresh if w not in known)
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
-            self.known.update(zip(some, (powered(self.kernel([shaped(w) for w in some])) @ self.beta).tolist(), strict=True))
-        value = np.fromiter(map(self.known.__getitem__, tokens), float, len(tokens))
+            known.update(zip(some, (powered(self.kernel([shaped(w) for w in some])) @ self.beta).tolist(), strict=True))
+        value = np.fromiter(map(known.__getitem__, tokens), float, len(tokens))
         begin = np.cumsum([0, *map(len, found)])[:-1]
         return (np.add.reduceat(value, begin) if len(begin) else np.zeros(0)) + self.bias
 
@@ -436,7 +461,6 @@ def train(toxic: list[str], clean: list[str]) -> Model | None:
         features += [model.features(toxic), model.features(clean)]
         y += [np.ones(len(toxic)), -np.ones(len(clean))]
     model.logistic = fit_logistic(np.concatenate(features), np.concatenate(y))
-    model.known.clear()
     return model
 
 
