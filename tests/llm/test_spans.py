@@ -179,6 +179,29 @@ def test_scanner_against_patterns(texts):
     assert [[f"{secrets.RULES[k].name}:{s}:{e}" for s, k, e in x] for x in got] == [spans(SECRET, t) for t in texts]
 
 
+def test_scans_take_time_in_proportion():
+    import time
+
+    texts = ["eyJ" * 300_000, "-----BEGIN " + "A " * 200_000, "x" * 500_000 + " token=" + "a.b" * 100_000, "deadbeef " * 60_000 + "0123456789abcdef" * 2, " ".join(f"token=abc{k:06}" for k in range(20_000))]
+    began = time.perf_counter()
+    got = SCANNER.scan([t.encode() for t in texts])
+    assert time.perf_counter() - began < 20
+    assert got[0] == got[1] == [] and [(k, e - s) for s, k, e in got[2]] == [(0, 6 + 300_000)] and [(k, e - s) for s, k, e in got[3]] == [(2, 32)]
+    assert got[4] == [(k * 16, 0, k * 16 + 15) for k in range(20_000)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=300), st.integers(1, 40))
+def test_lanes_meet_the_states_of_one_pass(data, lanes):
+    a = compile_rules([("(ab|cb)*c{2,3}", False), ("x[^y]*z", False)], anywhere=True)
+    data = bytes(b"abcxyz"[b % 6] for b in data)
+    state, want = a.start, []
+    for b in data:
+        state = int(a.table[state, b])
+        want.append(state * 256)
+    assert a.states(np.frombuffer(data, np.uint8), lanes).tolist() == want
+
+
 SCANNER = secrets.Scanner()
 
 

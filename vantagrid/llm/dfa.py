@@ -175,12 +175,73 @@ class Automaton:
 
     @property
     def resets(self) -> np.ndarray:
-        """Bytes that lead every state to the start: where a scan may be cut."""
+        """Bytes that lead every state to the start: what texts may be joined by."""
         return np.flatnonzero((self.table == self.start).all(axis=0))
 
 
-def compile_rules(rules: list[tuple[str, bool]], anywhere: bool) -> Automaton:
-    """One automaton of all (rule, ignore case); ``anywhere`` lets a match begin at any byte."""
+    def states(self, data: np.ndarray, lanes: int) -> np.ndarray:
+        """256 times the state behind every byte, from the start on: one pass in lanes side by side.
+
+        Each lane is entered as if at the start. Where the lane before ended in another
+        state, it is gone through again from that state until it meets the states that
+        were found; what changes a lane's end goes on to the next.
+        """
+        n = len(data)
+        width = -(-n // max(lanes, 1))
+        lanes = -(-n // max(width, 1))
+        grid = np.zeros(width * lanes, np.int32)
+        grid[:n] = data
+        grid = np.ascontiguousarray(grid.reshape(lanes, width).T)
+        flat = (self.table * 256).astype(np.int32).ravel()
+        out = np.empty((width, lanes), np.int32)
+        state = np.full(lanes, self.start * 256, np.int32)
+        for i in range(width):
+            state = flat[state + grid[i]]
+            out[i] = state
+        entered = np.full(lanes, self.start * 256, np.int32)
+        while lanes:
+            again = np.flatnonzero(out[-1, :-1] != entered[1:]) + 1
+            if not len(again):
+                break
+            state = entered[again] = out[-1, again - 1]
+            if len(again) <= 4:
+                for k, at in zip(again.tolist(), state.tolist(), strict=True):
+                    self._again(out[:, k], grid[:, k], at)
+                continue
+            for i in range(width):
+                state = flat[state + grid[i, again]]
+                other = state != out[i, again]
+                if not other.all():
+                    again, state = again[other], state[other]
+                if not len(again):
+                    break
+                out[i, again] = state
+        return out.T.ravel()[:n]
+
+    def _again(self, out: np.ndarray, data: np.ndarray, state: int) -> None:
+        """One lane from another state on."""
+        table, known = self.table.tolist(), out.tolist()
+        state >>= 8
+        for i, byte in enumerate(data.tolist()):
+            state = table[state][byte]
+            if known[i] == state << 8:
+                return
+            out[i] = state << 8
+
+
+def _reversed(tree):
+    """The tree of the rule's matches read from their ends."""
+    kind = tree[0]
+    if kind == "set":
+        return tree
+    if kind == "rep":
+        return ("rep", _reversed(tree[1]), *tree[2:])
+    parts = [_reversed(t) for t in tree[1]]
+    return (kind, parts[::-1] if kind == "cat" else parts)
+
+
+def compile_rules(rules: list[tuple[str, bool]], anywhere: bool, backwards: bool = False) -> Automaton:
+    """One automaton of all (rule, ignore case); ``anywhere`` lets a match begin at any byte, ``backwards`` reads them from their ends."""
     nfa = _Nfa()
     root = nfa.state()
     ends: dict[int, int] = {}
@@ -191,7 +252,7 @@ def compile_rules(rules: list[tuple[str, bool]], anywhere: bool) -> Automaton:
             raise ValueError(f"unexpected ) in {rule}")
         begin = nfa.state()
         nfa.empty[root].append(begin)
-        ends[nfa.build(tree, begin)] = 1 << k
+        ends[nfa.build(_reversed(tree) if backwards else tree, begin)] = 1 << k
     first = nfa.closure([root])
     ids, todo, table, masks = {first: 0}, [first], [], []
     while todo:

@@ -2,10 +2,12 @@
 
 All rules are compiled together (``dfa``) so that one pass over a batch's bytes marks
 every place where a rule ends. The pass runs many lanes side by side in numpy: texts
-are joined by a byte that leads every state back to the start, and lanes are cut only
-behind such bytes, so cutting never changes a state. Texts in which a rule ended are
-then split into leftmost, longest, non-overlapping matches by the rule's own anchored
-automaton, and matches that fail the rule's condition are dropped without retry.
+are joined by a byte that leads every state back to the start, lanes are entered on
+speculation and mended where that was wrong. Texts in which a rule ended are read by the
+rule's own automaton from their ends, which marks every place where a match begins; its
+anchored automaton then delimits leftmost, longest, non-overlapping matches from these
+places only, and matches that fail the rule's condition are dropped without retry. A
+begin that leads to no match is never tried, so time is in proportion to the text.
 
 Null and empty texts have no spans; repeated rows repeat their result; whole texts of
 any length are scanned; an empty table gives an empty result.
@@ -74,57 +76,38 @@ class Scanner:
         self.rules = rules
         self.all = compile_rules([(r.locate, r.fold) for r in rules], anywhere=True)
         self.each = [compile_rules([(r.pattern, r.fold)], anywhere=False) for r in rules]
-        resets = self.all.resets
-        if 0 not in resets:
+        self.back = [compile_rules([(r.pattern, r.fold)], anywhere=True, backwards=True) for r in rules]
+        if 0 not in self.all.resets or any(0 not in a.resets for a in self.back):
             raise ValueError("rules must not match over a zero byte")
-        self.cut = np.zeros(256, bool)
-        self.cut[resets] = True
 
     def ends(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One pass: where rules end in ``data``, and the mask of rules there. ``data`` must end in a zero byte."""
-        n = len(data)
-        marks = np.linspace(0, n, min(LANES, n // 64 + 1) + 1).astype(np.int64)[1:-1]
-        cuts = np.flatnonzero(self.cut[data]) + 1
-        inner = cuts[np.minimum(np.searchsorted(cuts, marks), len(cuts) - 1)]
-        starts = np.unique(np.concatenate([[0], inner[inner < n]]))
-        length = np.diff(np.append(starts, n))
-        order = np.argsort(-length, kind="stable")
-        starts, length = starts[order], length[order]
-        alive = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right")
-        flat, state = self.all.table.ravel() * 256, np.full(len(starts), self.all.start * 256, np.int32)
-        bar = self.all.accepting * 256
-        found_at, found = [], []
-        for i in range(int(length[0])):
-            k = alive[i]
-            state = flat[state[:k] + data[starts[:k] + i]]
-            if (state.max() if k else 0) >= bar:
-                hit = np.flatnonzero(state >= bar)
-                found_at.append(starts[hit] + i)
-                found.append(self.all.masks[state[hit] >> 8])
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(found_at), np.concatenate(found)
-
-    def matches(self, k: int, text: bytes, last_end: int) -> list[tuple[int, int]]:
-        """Leftmost, longest, non-overlapping matches of rule ``k`` that begin before ``last_end``; failing ones dropped."""
+        """One pass: where rules end in ``data``, and the mask of rules there."""
+        states = self.all.states(data, min(LANES, len(data) // 64 + 1))
+        at = np.flatnonzero(states >= self.all.accepting * 256)
+        return at, self.all.masks[states[at] >> 8]
+
+    def begins(self, k: int, data: np.ndarray) -> np.ndarray:
+        """Places of ``data`` from which on rule ``k`` has a match."""
+        states = self.back[k].states(data[::-1], min(LANES, len(data) // 64 + 1))
+        return len(data) - 1 - np.flatnonzero(states >= self.back[k].accepting * 256)[::-1]
+
+    def matches(self, k: int, data: bytes, begins: np.ndarray) -> list[tuple[int, int]]:
+        """Leftmost, longest, non-overlapping matches of rule ``k``, given where any begins; failing ones dropped."""
         one: Automaton = self.each[k]
         table, bar, dead, out, at = one.table.tolist(), one.accepting, one.dead, [], 0
-        first = one.table[one.start] != dead
-        begins = np.flatnonzero(first[np.frombuffer(text, np.uint8, last_end)])
         for s in begins.tolist():
             if s < at:
                 continue
             state, end = one.start, -1
-            for i in range(s, len(text)):
-                state = table[state][text[i]]
+            for i in range(s, len(data)):
+                state = table[state][data[i]]
                 if state == dead:
                     break
                 if state >= bar:
                     end = i + 1
-            if end >= 0:
-                if self.rules[k].keep(text[s:end]):
-                    out.append((s, end))
-                at = end
+            if self.rules[k].keep(data[s:end]):
+                out.append((s, end))
+            at = end
         return out
 
     def scan(self, texts: list[bytes]) -> list[list[tuple[int, int, int]]]:
@@ -136,17 +119,19 @@ class Scanner:
         at, masks = self.ends(data)
         begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
         owner = np.searchsorted(begins, at, side="right") - 1
-        wanted: dict[tuple[int, int], int] = {}
+        points: dict[int, np.ndarray] = {}
         for k in range(len(self.rules)):
-            hit = (masks >> k) & 1 == 1
-            last = np.zeros(len(texts), np.int64)
-            np.maximum.at(last, owner[hit], at[hit] - begins[owner[hit]] + 1)
-            wanted |= {(int(t), k): int(last[t]) for t in np.flatnonzero(last)}
-        for (t, k), last in wanted.items():
-            found[t] += [(s, k, e) for s, e in self.matches(k, texts[t], last)]
-        for t in {t for t, _ in wanted}:
-            points = np.concatenate([[0], np.cumsum((np.frombuffer(texts[t], np.uint8) & 0xC0) != 0x80)])
-            found[t] = sorted((int(points[s]), k, int(points[e])) for s, k, e in found[t])
+            hit = np.unique(owner[(masks >> k) & 1 == 1]).tolist()
+            own = b"\0".join([texts[t] for t in hit]) + b"\0"
+            starts = np.cumsum([0, *(len(texts[t]) + 1 for t in hit)])
+            spans = self.matches(k, own, self.begins(k, np.frombuffer(own, np.uint8))) if hit else []
+            for (s, e), nth in zip(spans, np.searchsorted(starts, [s for s, _ in spans], side="right") - 1, strict=True):
+                t, base = hit[nth], int(starts[nth])
+                if t not in points:
+                    points[t] = np.concatenate([[0], np.cumsum((np.frombuffer(texts[t], np.uint8) & 0xC0) != 0x80)])
+                found[t].append((int(points[t][s - base]), k, int(points[t][e - base])))
+        for t in points:
+            found[t].sort()
         return found
 
 
