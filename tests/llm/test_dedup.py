@@ -256,28 +256,54 @@ def test_suffix_dedup_of_repeated_rows(spark, sf_dir):
     assert [r[2] for r in got if r[0] == 4] == [0, 0]
 
 
-def chunked(text, modulus=3, factor=31):
-    hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in text.split("\n")]
+def chunked(text):
+    lines = text.split("\n")
+    hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
     out, own = [], []
-    for k, x in enumerate(text.split("\n")):
+    for k, x in enumerate(lines):
         own.append(x)
-        if ((hashes[k - 1] if k else 0) * factor + hashes[k]) % modulus == 0:
+        if k + 1 == len(lines) or hashes[k] % 2 == 0 or hashes[k + 1] // 8 % 2 == 0:
             out.append("\n".join(own))
             own = []
-    return out + (["\n".join(own)] if own else [])
+    return out
 
 
 def lines_removed(rows):
+    """Texts without chunks that an earlier text, or place of the text, has too, alone or with the chunk behind them."""
     seen, out = set(), {}
     for i, text in sorted(rows):
-        kept = []
-        for c in chunked(text):
-            if sum(bool(x.strip(" \t\r\f\v")) for x in c.split("\n")) >= 2:
-                if c in seen:
-                    continue
-                seen.add(c)
-            kept.append(c)
-        out[i] = "\n".join(kept)
+        own, gone = chunked(text), set()
+        for wide in (1, 2):
+            for k in range(len(own) - wide + 1):
+                unit = "\n".join(own[k : k + wide])
+                if sum(bool(x.strip(" \t\r\f\v")) for x in unit.split("\n")) >= 2:
+                    if unit in seen:
+                        gone.update(range(k, k + wide))
+                    seen.add(unit)
+        out[i] = "\n".join(c for k, c in enumerate(own) if k not in gone)
+    return out
+
+
+def repeated_runs(rows):
+    """(words, words gone) of each run of two or more lines, none blank, of over 50 words that an earlier other text has as well."""
+    kept, seen, out = lines_removed(rows), {}, []
+    for i, text in sorted(rows):
+        lines, k = text.split("\n"), 0
+        while k + 1 < len(lines):
+            best = 0
+            for j, at in seen.get((lines[k], lines[k + 1]), ()):
+                n = 0
+                while k + n < len(lines) and at + n < len(j) and lines[k + n] == j[at + n] and lines[k + n].strip():
+                    n += 1
+                best = max(best, n)
+            words = sum(len(x.split()) for x in lines[k : k + best])
+            if best >= 2 and words > 50:
+                left = kept[i].split("\n")
+                out.append((words, sum(len(x.split()) for x in lines[k : k + best] if x not in left)))
+            k += max(best, 1)
+        for k in range(len(lines) - 1):
+            if lines[k].strip() and lines[k + 1].strip():
+                seen.setdefault((lines[k], lines[k + 1]), []).append((lines, k))
     return out
 
 
@@ -305,8 +331,18 @@ def test_line_dedup_of_whole_table(spark, corpus):
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in lines_removed(corpus.items()).items()}
 
 
+def test_repeated_passages_of_lines_mostly_go():
+    found = []
+    for seed in range(40):
+        draw = np.random.default_rng(seed)
+        line = lambda: " ".join(f"w{v}" for v in draw.integers(0, 10**6, 30))
+        passage = [line() for _ in range(2 + seed % 5)]
+        found += repeated_runs([(k, "\n".join([line(), line(), *passage, line(), line()])) for k in range(3)])
+    assert len(found) == 80 and sum(g for _, g in found) > 0.75 * sum(w for w, _ in found)
+
+
 def test_line_dedup_of_odd_rows(spark, documents):
-    docs = documents([*ODD, (8, "\n\n\n\n"), (9, "\n\n\n\n")]).selectExpr("*", "1 AS key", "2 AS chunk", "3 AS mark", "4 AS at")
+    docs = documents([*ODD, (8, "\n\n\n\n"), (9, "\n\n\n\n")]).selectExpr("*", "1 AS key", "2 AS chunk", "3 AS mark", "4 AS at", "5 AS __vg_id", "6 AS id_0", "7 AS mark_0", "8 AS Told_0")
     out = lines.deduplicated(docs)
     assert out.columns == [*docs.columns, "__vg"]
     assert sorted((str(r.doc_id), r.text) for r in out.select("doc_id", "text").collect() if r.text) == sorted((str(r.doc_id), r.text) for r in docs.select("doc_id", "text").collect() if r.text)

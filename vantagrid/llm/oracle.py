@@ -187,7 +187,7 @@ SELECT d.doc_id, CAST(length(any_value(d.h)) // 2 AS BIGINT) AS n_bytes, count(*
   sha256(unhex(coalesce(string_agg(c, '' ORDER BY p) FILTER (WHERE NOT gone), ''))) AS kept_sha256
 FROM d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id"""
 
-#: One key a chunk; equal chunks are compared as text, so no key is needed here.
+#: Chunks, and each with the one behind it; equal ones are compared as text, so no key is needed here.
 OP10_SQL = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
@@ -195,7 +195,7 @@ WITH lines AS (
 ), hashed AS (
   SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM lines
 ), cuts AS (
-  SELECT *, CASE WHEN (coalesce(lag(h) OVER w, 0) * 31 + h) % 3 = 0 THEN 1 ELSE 0 END AS ends
+  SELECT *, CASE WHEN h % 2 = 0 OR (lead(h) OVER w // 8) % 2 = 0 THEN 1 ELSE 0 END AS ends
   FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), numbered AS (
   SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cuts
@@ -203,8 +203,16 @@ WITH lines AS (
   SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
          count(*) FILTER (WHERE regexp_matches(line, '[^ \t\r\f\v]')) AS solid
   FROM numbered GROUP BY doc_id, c
+), behind AS (
+  SELECT *, lead(chunk) OVER w AS next, lead(solid) OVER w AS next_solid FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY c)
+), units AS (
+  SELECT doc_id, c, 0 AS more, chunk AS unit FROM behind WHERE solid >= 2
+  UNION ALL SELECT doc_id, c, 1, chunk || chr(10) || next FROM behind WHERE next IS NOT NULL AND solid + next_solid >= 2
+), again AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY doc_id, c) AS nth FROM units) WHERE nth > 1
+), gone AS (SELECT DISTINCT doc_id, c + k AS c FROM (SELECT doc_id, c, unnest(range(0, more + 1)) AS k FROM again)
 ), judged AS (
-  SELECT *, solid >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) > 1 AS gone FROM chunks
+  SELECT chunks.*, gone.c IS NOT NULL AS gone FROM chunks LEFT JOIN gone USING (doc_id, c)
 ), kept AS (
   SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '') AS text,
          count(*) FILTER (WHERE gone) AS nc, coalesce(sum(n) FILTER (WHERE gone), 0) AS nl
