@@ -260,6 +260,35 @@ def test_area_resize_is_exact():
     assert np.allclose(media.area_resize(image, 7, 10), image)
 
 
+def test_colour_pictures_of_whole_table(spark):
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()}
+    got = defaultdict(dict)
+    for r in queries.media_colour_pictures(spark, SMALL).collect():
+        assert r.error is None and (r.height, r.width, r.channels) == (-(-len(vectors[r.vec_id]) // 48), 16, 3)
+        got[r.vec_id][r.format] = (r.dhash, r.tile_sha256)
+    assert got.keys() == vectors.keys() and all(x["bmp"] == x["ppm"] for x in got.values())
+    for i in list(vectors)[:20]:
+        values = np.clip(np.rint((np.array(vectors[i], float) + 1) * 127.5), 0, 255)
+        image = np.pad(values, (0, -len(values) % 48)).reshape(-1, 16, 3)
+        cells = np.repeat(np.repeat(image, 8, axis=0), 9, axis=1)
+        tile = cells.reshape(8, image.shape[0], 8, 18, 3).mean(axis=(1, 3))
+        grey = cells.reshape(8, image.shape[0], 9, 16, 3).mean(axis=(1, 3, 4)).round(6)
+        assert got[i]["bmp"] == (np.packbits(grey[:, 1:] > grey[:, :-1]).tobytes().hex(), sha(media.npy(np.rint(tile.round(9)).astype(np.uint8))))
+    empty = spark.createDataFrame([(1, None), (2, [])], "vec_id long, embedding array<float>")
+    assert all(r.bmp is None and r.ppm is None for r in media.vector_pictures(empty, "vec_id", "embedding").collect())
+
+
+def test_long_pictures_take_little_room():
+    import tracemalloc
+
+    image = np.frombuffer(bytes(range(256)) * 250_000, np.uint8).reshape(-1, 64, 1)
+    tracemalloc.start()
+    cells = media.area_resize(image, 8, 8)
+    assert tracemalloc.get_traced_memory()[1] < image.nbytes / 4
+    tracemalloc.stop()
+    assert np.allclose(cells, image[:4].reshape(1, 4, 8, 8, 1).mean(axis=(1, 3)))
+
+
 def test_media_columns(spark):
     good = media.encode_pgm(bytes(range(128)))
     rows = spark.createDataFrame([(1, bytearray(good), 5), (2, bytearray(b"junk"), 5), (3, None, 5)], "id long, picture binary, tile int")

@@ -65,7 +65,7 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         if len(data) - at < count * unit.itemsize:
             raise MediaError("netpbm data end early")
         raw = np.frombuffer(data, unit, count, at)
-        return raw.astype(unit.newbyteorder("=")).reshape(height, width, channels)
+        return raw.astype(unit.newbyteorder("="), copy=False).reshape(height, width, channels)
     body = re.sub(rb"#[^\n\r]*", b"", data[at:])
     if kind == b"P1":
         bits = np.frombuffer(re.sub(rb"[^01]", b"", body), np.uint8)[:count]
@@ -123,19 +123,23 @@ def decode(data: bytes) -> np.ndarray:
     raise MediaError("unknown kind")
 
 
-def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Mean over each target cell's exact area, read off an integral image at fractional corners."""
-    h, w = image.shape[:2]
-    total = np.zeros((h + 1, w + 1, image.shape[2]))
-    np.cumsum(np.cumsum(image, axis=0, dtype=np.float64), axis=1, out=total[1:, 1:])
+def _summed(image: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The integral along the first axis at fractional points; whole rows are added up between the points only."""
+    low = np.minimum(points.astype(np.int64), len(image) - 1)
+    starts, at = np.unique(np.append(0, low), return_inverse=True)
+    sums = np.stack([image[a:z].sum(axis=0, dtype=np.float64) for a, z in zip(starts, np.append(starts[1:], len(image)), strict=True)])
+    before = np.cumsum(sums, axis=0) - sums
+    return before[at[1:]] + (points - low)[:, None, None] * image[low]
 
-    def at(grid: np.ndarray, points: np.ndarray) -> np.ndarray:
-        low = np.minimum(points.astype(int), len(grid) - 2)
-        part = (points - low)[:, None, None]
-        return grid[low] * (1 - part) + grid[low + 1] * part
 
-    down = at(total, np.linspace(0, h, height + 1))
-    both = at(down.transpose(1, 0, 2), np.linspace(0, w, width + 1)).transpose(1, 0, 2)
+def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Mean over each target cell's exact area, read off an integral image at the cells' fractional corners.
+
+    The integral is kept at the corners' rows and columns alone, so a long picture takes no more room.
+    """
+    h, w = image.shape[:2]
+    down = _summed(image, np.linspace(0, h, height + 1))
+    both = _summed(down.transpose(1, 0, 2), np.linspace(0, w, width + 1)).transpose(1, 0, 2)
     sums = np.diff(np.diff(both, axis=0), axis=1)
     return sums * (height * width / (h * w))
 
@@ -162,6 +166,19 @@ def encode_pgm(payload: bytes, width: int = WIDTH) -> bytes:
     return b"P5\n%d %d\n255\n" % (width, len(payload) // width) + payload
 
 
+def encode_bmp(image: np.ndarray) -> bytes:
+    """A picture of red, green and blue bytes as a BMP of 24 bits, its last row first."""
+    height, width = image.shape[:2]
+    rows = np.pad(image[::-1, :, ::-1].reshape(height, width * 3), ((0, 0), (0, -3 * width % 4)))
+    head = struct.pack("<IiiHHIIiiII", 40, width, height, 1, 24, 0, rows.size, 0, 0, 0, 0)
+    return b"BM" + struct.pack("<IHHI", 54 + rows.size, 0, 0, 54) + head + rows.astype(np.uint8).tobytes()
+
+
+def encode_ppm(image: np.ndarray) -> bytes:
+    """A picture of red, green and blue bytes as a binary pixmap."""
+    return b"P6\n%d %d\n255\n" % (image.shape[1], image.shape[0]) + image.astype(np.uint8).tobytes()
+
+
 MEDIA_SCHEMA = "height int, width int, channels int, dhash string, tile binary, error string"
 
 
@@ -206,6 +223,23 @@ def text_pictures(df: DataFrame) -> DataFrame:
     return map_arrow(df.select(df["doc_id"].cast("long").alias("doc_id"), utf8().alias("text")), run, "doc_id long, n_bytes long, content binary")
 
 
+def vector_pictures(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, bmp, ppm): each vector as a colour picture of rows of 16 pixels, every three numbers of -1 to 1 a pixel; null and empty vectors give nulls."""
+    src = df.select(df[id_col].alias("id"), df[vector_col].cast("array<double>").alias("vector"))
+    kind = src.schema["id"].dataType.simpleString()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bmp, ppm = [], []
+        for vector in batch.column(1).to_pylist():
+            values = np.clip(np.rint((np.nan_to_num(np.array(vector or [], float)) + 1) * 127.5), 0, 255).astype(np.uint8)
+            image = np.pad(values, (0, -len(values) % 48)).reshape(-1, 16, 3)
+            bmp.append(encode_bmp(image) if len(values) else None)
+            ppm.append(encode_ppm(image) if len(values) else None)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(bmp, pa.binary()), pa.array(ppm, pa.binary())], ["id", "bmp", "ppm"])
+
+    return map_arrow(src, run, f"id {kind}, bmp binary, ppm binary").withColumnRenamed("id", id_col)
+
+
 def stored_texts(df: DataFrame) -> DataFrame:
     """Each text stored as a picture, read back, and described; see op8's contract in ``queries``."""
 

@@ -82,7 +82,17 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.stored_texts(table(spark, sf_dir, "documents")).drop("tile")
+    got = media.stored_texts(table(spark, sf_dir, "documents"))
+    return got.withColumn("tile_sha256", F.sha2("tile", 256)).drop("tile")
+
+
+def media_colour_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as colour pictures in both formats, read back: what is the same of either, and the digests of both tiles."""
+    drawn = media.vector_pictures(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    one = media.media_columns(drawn.select("vec_id", "bmp"), "vec_id", "bmp")
+    two = media.media_columns(drawn.select("vec_id", "ppm"), "vec_id", "ppm")
+    shown = lambda df, name: df.select("vec_id", F.lit(name).alias("format"), "height", "width", "channels", "dhash", F.sha2("tile", 256).alias("tile_sha256"), "error")
+    return shown(one, "bmp").unionByName(shown(two, "ppm"))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_source_mix": op7_source_mix,
     "op8_media": op8_media,
+    "media_colour_pictures": media_colour_pictures,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
 }

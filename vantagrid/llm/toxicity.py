@@ -57,6 +57,8 @@ EVIDENCE = 24
 WIDE, LONG, REMEMBERED = 24, 4096, 300_000
 #: From this score on a document counts as toxic.
 THRESHOLD = 0.7
+#: Documents of a class from half of which on two parts are enough to judge the scores.
+JUDGED = 600
 #: Cost of the machine's errors; sentences count towards a document's sum from this margin on.
 COST, FROM = 10.0, -0.5
 
@@ -450,13 +452,15 @@ def train(toxic: list[str], clean: list[str]) -> Model | None:
     strings = Strings(toxic + clean)
     bad, good = [read(t) for t in toxic], [read(t) for t in clean]
     model = _fitted(strings, bad, good)
-    # each half's documents are judged by a machine of the other half
+    # each part's documents are judged by a machine of the others; few documents in more parts
     features, y = [np.zeros((0, 2))], []
-    if min(len(toxic), len(clean)) > 1:
-        for k in (0, 1):
-            half = _fitted(strings, bad[k::2], good[k::2])
-            features += [half.features(toxic[1 - k :: 2]), half.features(clean[1 - k :: 2])]
-            y += [np.ones(len(toxic[1 - k :: 2])), -np.ones(len(clean[1 - k :: 2]))]
+    least = min(len(toxic), len(clean))
+    if least > 1:
+        folds = min(max(2, JUDGED // least), 5, least)
+        for k in range(folds):
+            others = _fitted(strings, *([d for i, d in enumerate(x) if i % folds != k] for x in (bad, good)))
+            features += [others.features(toxic[k::folds]), others.features(clean[k::folds])]
+            y += [np.ones(len(toxic[k::folds])), -np.ones(len(clean[k::folds]))]
     else:
         features += [model.features(toxic), model.features(clean)]
         y += [np.ones(len(toxic)), -np.ones(len(clean))]
