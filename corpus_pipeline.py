@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantagrid.llm import lines, mixing, neardup, pieces, toxicity
-from vantagrid.llm.common import Scratch, table
+from vantagrid.llm.common import WORD, Scratch, table, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,15 +21,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go; ``n_chars`` follows the text. Documents that are emptied by it stay, as empty texts."""
-    cleaned = lines.deduplicated(docs)
-    n = F.when(F.col("__vg.chunks") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", n).drop("__vg")
+    """Repeated chunks of lines go; ``n_chars`` follows the text. A document that has words, all of them in such chunks, is a copy and goes."""
+    told = unused(docs, "lines")
+    cleaned = lines.deduplicated(docs, into=told)
+    lost = F.col(f"{told}.chunks") > 0
+    n = F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cleaned.where(~lost | F.col("text").rlike(WORD)).withColumn("n_chars", n).drop(told)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the least id; documents without words are in no group and stay."""
-    return neardup.representatives(docs)
+    """One document of each near-duplicate group, the least id; documents without words are in no group and stay. Shingles are those of the operator's query."""
+    return neardup.representatives(docs, shingle=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
