@@ -86,9 +86,12 @@ def _audit(a: argparse.Namespace) -> None:
     from vantagrid.plans.corpus import audit_sky
 
     config = load_build_config(a.config)
-    for r in audit_sky(session(), config.raw_root, list(config.runs)).orderBy("tod", "place").collect():
+    rows = audit_sky(session(), config.raw_root, list(config.runs)).orderBy("tod", "place").collect()
+    for r in rows:
         side = "val" if r.run_id in config.val_runs else "train"
         print(f"{r.run_id}  {r.tod:6.2f}  {r.tint:9.2f}  {r.verdict}  {side}")
+    wrong = [r.run_id for r in rows if r.verdict == "wrong"]
+    print(f"{len(wrong)} runs are wrong, {len(set(wrong) & set(config.val_runs))} of them held out")
 
 
 def _watch(a: argparse.Namespace) -> None:

@@ -34,12 +34,19 @@ def with_instances(frames: DataFrame, threshold: int, min_box_area: int, key: st
     return _boxes(frames, key, one)
 
 
+def _rows(lists: pa.ListArray) -> Iterator[np.ndarray]:
+    """The lists of a column as arrays on its values; null lists are empty."""
+    lists = lists.fill_null([])
+    values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    return (values[a:z] for a, z in zip(offsets, offsets[1:], strict=False))
+
+
 def _boxes(frames: DataFrame, key: str, one: Callable[[np.ndarray], list[raster.Box]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for k, pixels, width in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                image = np.array(pixels, np.int32).reshape(-1, width)
+            for k, pixels, width in zip(b.column(0).to_pylist(), _rows(b.column(1)), b.column(2).to_pylist(), strict=True):
+                image = pixels.reshape(-1, width)
                 rows += [(k, x.x, x.y, x.w, x.h, x.mask_area, x.components) for x in one(image)]
             cols = list(zip(*rows, strict=True)) if rows else [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i == 0 else pa.int32()) for i, c in enumerate(cols)], ["k", "x", "y", "w", "h", "mask_area", "components"])
@@ -54,8 +61,8 @@ def contrast_sums(frames: DataFrame, threshold: int, key: str, core_alpha: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for k, plane, pixels, width in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                alpha, grey = np.array(pixels, np.int32).reshape(-1, width), np.array(plane, np.int64).reshape(-1, width)
+            for k, plane, pixels, width in zip(b.column(0).to_pylist(), _rows(b.column(1)), _rows(b.column(2)), b.column(3).to_pylist(), strict=True):
+                alpha, grey = pixels.reshape(-1, width), plane.reshape(-1, width)
                 lit = raster.binarise(alpha, threshold)
                 for box in raster.instances(lit, 1):
                     maps = raster.sampled(alpha, lit, box, core_alpha, ring_px, min_core_px)
@@ -74,31 +81,33 @@ def image_array(height: int, width: int, channels: int, data: bytes) -> np.ndarr
     return np.repeat(image, 3, axis=2) if channels == 1 else image[:, :, :3]
 
 
-def annotate(pairs: DataFrame, threshold: int, min_box_area: int, class_id: int) -> DataFrame:
-    """(run_id, problem, annotation columns) of image pairs (run_id, frame_index, normal_name, normal, mask).
+def annotate(pairs: DataFrame, threshold: int, min_box_area: int, class_id: int, draw: Callable[[np.ndarray, list[dict]], bytes] | None = None) -> DataFrame:
+    """(run_id, problem, annotation columns, drawn) of image pairs (run_id, frame_index, normal_name, normal, mask).
 
     ``normal`` and ``mask`` are image structs. ``problem`` says why a pair has no
-    annotation; the caller refuses the run.
+    annotation; the caller refuses the run. ``drawn`` is what ``draw`` makes of the
+    normal image and its boxes, while both are at hand.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [_annotated(r, threshold, min_box_area, class_id) for r in b.to_pylist()]
+            # frame by frame, so that one pair of images is in Python's hands at a time
+            out = [_annotated(b.slice(k, 1).to_pylist()[0], threshold, min_box_area, class_id, draw) for k in range(b.num_rows)]
             yield pa.RecordBatch.from_pylist(out, schema=_ANNOTATED)
 
     spark = pairs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FRAMES_PER_BATCH))
     parts = [F.struct(*[F.col(f"{side}.{c}").alias(c) for c in ("height", "width", "nChannels", "data")]).alias(side) for side in ("normal", "mask")]
     src = pairs.select("run_id", F.col("frame_index").cast("int").alias("frame_index"), "normal_name", *parts)
-    return src.mapInArrow(run, f"run_id string, problem string, {ANNOTATION}")
+    return src.mapInArrow(run, f"run_id string, problem string, {ANNOTATION}, drawn binary")
 
 
 _BOX_TYPE = pa.struct([(c, pa.int32()) for c in ("class_id", "x", "y", "w", "h", "mask_area")] + [("fill_ratio", pa.float64()), ("components", pa.int32()), ("contrast", pa.float64())])
-_ANNOTATED = pa.schema([("run_id", pa.string()), ("problem", pa.string()), ("frame_index", pa.int32()), ("normal", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("boxes", pa.list_(_BOX_TYPE))])
+_ANNOTATED = pa.schema([("run_id", pa.string()), ("problem", pa.string()), ("frame_index", pa.int32()), ("normal", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("boxes", pa.list_(_BOX_TYPE)), ("drawn", pa.binary())])
 
 
-def _annotated(row: dict, threshold: int, min_box_area: int, class_id: int) -> dict:
-    out = {"run_id": row["run_id"], "problem": None, "frame_index": row["frame_index"], "normal": row["normal_name"], "width": None, "height": None, "boxes": []}
+def _annotated(row: dict, threshold: int, min_box_area: int, class_id: int, draw: Callable | None) -> dict:
+    out = {"run_id": row["run_id"], "problem": None, "frame_index": row["frame_index"], "normal": row["normal_name"], "width": None, "height": None, "boxes": [], "drawn": None}
     sizes = {s: (row[s]["width"], row[s]["height"]) for s in ("normal", "mask")}
     for side, (width, height) in sizes.items():
         if width < 0 or height < 0:
@@ -123,7 +132,7 @@ def _annotated(row: dict, threshold: int, min_box_area: int, class_id: int) -> d
                 "contrast": None if seen is None else round(seen, 2),
             }
         )
-    return out | {"width": sizes["normal"][0], "height": sizes["normal"][1], "boxes": boxes}
+    return out | {"width": sizes["normal"][0], "height": sizes["normal"][1], "boxes": boxes, "drawn": draw(normal, boxes) if draw else None}
 
 
 def sky_tints(images: DataFrame, rows: int = 300) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantagrid.functions import text
@@ -31,12 +31,21 @@ def verify(spark: SparkSession, root: str, qc_root: str, runs: DataFrame, frames
     return out
 
 
-def prune(spark: SparkSession, root: str, runs: DataFrame, apply: bool = False) -> dict[str, int]:
-    """Objects that the named runs own, counted by prefix; deleted only with ``apply``."""
-    doomed = ops.owned_keys(list_keys(spark, root), runs).cache()
+def snapshot_keys(spark: SparkSession, root: str, to: str) -> DataFrame:
+    """One listing of a store, (key, length), written as a table that later counts and prunings read instead of listing again."""
+    list_keys(spark, root).write.mode("overwrite").parquet(to)
+    return spark.read.parquet(to)
+
+
+def prune(spark: SparkSession, root: str, runs: DataFrame, apply: bool = False, keys: DataFrame | None = None) -> dict[str, int]:
+    """Objects that the named runs own, counted by prefix; deleted only with ``apply``. ``keys`` is a snapshot, else the store is listed."""
+    doomed = ops.owned_keys(list_keys(spark, root) if keys is None else keys, runs).cache()
     counts = {r.prefix: r.n for r in ops.prefix_counts(doomed, text.owned_prefix(F.col("key"))).orderBy("prefix").collect()}
-    if apply:
-        base = Store.at(spark, root).root
+    store = Store.at(spark, root)
+    if apply and store.deletes_at_once > 1:
+        store.delete_keys(r.key for r in doomed.toLocalIterator())
+    elif apply:
+        base = store.root
 
         def delete(rows) -> None:
             for r in rows:
@@ -51,11 +60,27 @@ def prune(spark: SparkSession, root: str, runs: DataFrame, apply: bool = False)
 def strata(manifests: DataFrame) -> DataFrame:
     """(run_id, preset, kind) of manifests that are valid."""
     value = {k: F.get_json_object("randomization", f"$.{k}") for k in ("preset", "distance_start_cm", "distance_end_cm")}
-    preset = F.coalesce(F.nullif(value["preset"], F.lit("")), F.lit("unknown"))
+    preset = preset_of(value["preset"])
     kind = text.clip_kind(value["distance_start_cm"].try_cast("double"), value["distance_end_cm"].try_cast("double"))
     return manifests.where("problem IS NULL").select("run_id", preset.alias("preset"), kind.alias("kind"))
 
 
+def strata_counts(found: DataFrame, val: DataFrame) -> DataFrame:
+    """(preset, kind, n, n_val): runs of each preset and kind, and how many of them ``val`` (run_id) holds out."""
+    held = ops.split_subsets(found, val, "run_id")
+    return held.groupBy("preset", "kind").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("subset") == "val").alias("n_val"))
+
+
+def preset_of(value) -> Column:
+    """The preset a run was made with; none or an empty one is unknown."""
+    return F.coalesce(F.nullif(value, F.lit("")), F.lit("unknown"))
+
+
+def affected(verdicts: DataFrame, val: DataFrame) -> DataFrame:
+    """(verdict, n, n_val): runs of each verdict, and how many of them are held out."""
+    return ops.split_subsets(verdicts, val, "run_id").groupBy("verdict").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("subset") == "val").alias("n_val"))
+
+
 def holdout_config(spark: SparkSession, raw_root: str, dataset_root: str, seed_prefix: str = "3", recession: int = 2, crossing: int = 1) -> str:
     """A build config of the runs that match, with the published draw as its hold-out; YAML text."""
     store = Store.at(spark, raw_root)
@@ -65,7 +90,9 @@ def holdout_config(spark: SparkSession, raw_root: str, dataset_root: str, seed_p
     for r in rows:
         groups.setdefault((r.preset, r.kind), []).append(r.run_id)
     val = ops.drawn_holdout(groups, recession, crossing)
-    lines = [f"# {len(rows)} runs, {len(val)} held out: drawn blind from every preset and kind.", "runs:"]
+    lines = [f"# {len(rows)} runs, {len(val)} held out: drawn blind from every preset and kind."]
+    held = {(p, k): sum((p, k) == v[1:] for v in val) for p, k in groups}
+    lines += [f"#   {p}, {k}: {len(groups[p, k])} runs, {held[p, k]} held out" for p, k in sorted(groups)] + ["runs:"]
     for preset in sorted({r.preset for r in rows}):
         lines += [f"  # {preset}", *(f"  - {r.run_id}" for r in rows if r.preset == preset)]
     lines += ["split:", "  mode: by_run", "  val_runs:" if val else "  val_runs: []"]

@@ -11,6 +11,8 @@ from vantagrid.sources.store import copy_file, write_bytes
 
 #: Requests that one task has under way at a time.
 IN_FLIGHT = 16
+#: Rows of a task where there are more than the session's tasks can share.
+PER_TASK = 10_000
 
 
 def place(rows: DataFrame) -> None:
@@ -31,5 +33,8 @@ def place(rows: DataFrame) -> None:
             for _ in pool.map(one, part):
                 pass
 
-    spark = rows.sparkSession
-    rows.repartition(spark.sparkContext.defaultParallelism).foreachPartition(run)
+    kept = rows.cache()
+    n = kept.count()
+    parts = min(-(-n // IN_FLIGHT), max(rows.sparkSession.sparkContext.defaultParallelism, n // PER_TASK))
+    kept.repartition(max(parts, 1)).foreachPartition(run)
+    kept.unpersist()

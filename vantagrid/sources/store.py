@@ -7,7 +7,9 @@ through Arrow's. A key is a path relative to the store's root.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import islice
 from pathlib import Path
 from urllib.parse import urlparse
 
@@ -80,11 +82,12 @@ class Store:
     def write_text_if_absent(self, key: str, text: str) -> None:
         """Write a key that must be new: the commit of a run or a version.
 
-        Local folders use an exclusive create; other stores Hadoop's create without
-        overwriting, which is as atomic as the store makes it.
+        Local folders use an exclusive create. Others are asked to put the object on the
+        condition that it is new, which an object store decides when the object is
+        complete; a file system that does not know the option creates without overwriting.
         """
         if not self.root.startswith("file:"):
-            self._write(key, text, False)
+            self._write_new(key, text)
             return
         path = Path(urlparse(self.path(key)).path)
         path.parent.mkdir(parents=True, exist_ok=True)
@@ -95,6 +98,19 @@ class Store:
         with os.fdopen(handle, "w", encoding="utf-8") as f:
             f.write(text)
 
+    def _write_new(self, key: str, text: str) -> None:
+        fs, path = self._open(key)
+        try:
+            stream = fs.createFile(path).recursive().overwrite(False).opt("fs.option.create.conditional.overwrite", True).build()
+            stream.write(bytearray(text.encode()))
+            stream.close()
+        except Py4JJavaError as e:
+            kind = e.java_exception.getClass().getSimpleName()
+            # a condition that fails when the object is complete comes back as a failed request
+            if "AlreadyExists" in kind or "Precondition" in str(e.java_exception) or "412" in str(e.java_exception):
+                raise KeyExists(self.path(key)) from None
+            raise
+
     def list_keys(self, prefix: str = "") -> list[str]:
         """Keys below a folder, in order; none if it is not there."""
         try:
@@ -109,9 +125,47 @@ class Store:
                 found.append(path[len(base) :])
         return sorted(found)
 
+    @property
+    def of_objects(self) -> bool:
+        """Whether keys are objects, which writers may not take back, rather than files."""
+        return urlparse(self.root).scheme in ("s3a", "s3n", "gs", "abfs", "abfss", "wasb", "oss", "cosn")
+
     def delete_prefix(self, prefix: str) -> None:
+        """Clear what an interrupted writer left; not where objects are kept, as their writers may only put."""
+        if self.of_objects:
+            raise NotPermitted(f"{self.path(prefix)}: objects are not deleted here, but pruned")
         self._call(prefix, "delete", True)
 
+    def delete_keys(self, keys: Iterable[str]) -> int:
+        """Delete many keys with as few requests as the store allows (an object store takes a thousand at a time); how many were asked for."""
+        jvm = self.spark._jvm
+        fs, base = self._open()
+        bulk = fs.createBulkDelete(base)
+        try:
+            n, size = 0, bulk.pageSize()
+            rest = iter(keys)
+            while page := list(islice(rest, size)):
+                paths = jvm.java.util.ArrayList()
+                for key in page:
+                    paths.add(jvm.org.apache.hadoop.fs.Path(self.path(key)))
+                failed = bulk.bulkDelete(paths)
+                if failed.size():
+                    raise NotPermitted(f"{failed.get(0).getKey()}: {failed.get(0).getValue()}")
+                n += len(page)
+            return n
+        finally:
+            bulk.close()
+
+    @property
+    def deletes_at_once(self) -> int:
+        """How many keys one request deletes."""
+        fs, base = self._open()
+        bulk = fs.createBulkDelete(base)
+        try:
+            return bulk.pageSize()
+        finally:
+            bulk.close()
+
     def put_file(self, local: str | Path, key: str) -> None:
         fs, path = self._open(key)
         source = self.spark._jvm.org.apache.hadoop.fs.Path("file://" + str(Path(local).resolve()))
@@ -136,15 +190,27 @@ def arrow_path(uri: str):
 
 
 def copy_file(source: str, target: str) -> None:
-    """Copy bytes between URIs, in a task; overwriting, so a retried task repeats itself harmlessly."""
+    """Copy bytes between URIs, in a task; overwriting, so a retried task repeats itself harmlessly.
+
+    Within one store the store copies by itself; only between stores do bytes pass through the task.
+    """
     fs, path = arrow_path(target)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
     other, from_path = arrow_path(source)
+    if fs == other:
+        fs.copy_file(from_path, path)
+        return
     with other.open_input_stream(from_path) as a, fs.open_output_stream(path) as b:
         while data := a.read(1 << 20):
             b.write(data)
 
 
+def read_bytes(source: str) -> bytes:
+    fs, path = arrow_path(source)
+    with fs.open_input_stream(path) as f:
+        return f.read()
+
+
 def write_bytes(target: str, data: bytes) -> None:
     fs, path = arrow_path(target)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)

@@ -7,8 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from vantagrid.errors import ConfigRefused
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the session names; in a local one only where it names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="vantagrid-")
+    """A new path in the shared folder the session names; where it names none, in a local one if driver and executors are one process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ConfigRefused("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="vantagrid-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
