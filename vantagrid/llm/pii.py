@@ -140,37 +140,47 @@ def _picked(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if small(keys, PICKED) else keys
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, work: Scratch) -> DataFrame:
-    """(term, share): terms that tell at least GENERALISE of any entity, and the most they tell."""
+def disclosing_terms(docs: DataFrame, found: DataFrame, work: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(term, share): terms that tell at least GENERALISE of any entity, and the most they tell; and (id, mark, term) of where they are among others."""
     near = work.keep(_nearby(found))
     joint = near.groupBy("entity", "term").agg(F.count_distinct("row").alias("n_joint"), F.count_distinct("context").alias("lines"))
     joint = work.keep(joint.where((F.col("n_joint") >= SUPPORT) | (F.col("lines") >= LINES)).drop("lines"))
     values = F.array_distinct(F.transform("spans", entity))
     entities = found.where(F.size("spans") > 0).select(F.explode(values).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = _words_of(docs, _picked(work.keep(joint.select("term").distinct())))
-    terms = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    held = work.keep(_words_of(docs, _picked(work.keep(joint.select("term").distinct()))))
+    terms = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     n = F.lit(float(max(found.count(), 2)))
     told = F.log(n * F.col("n_joint") / (F.col("n_term") * F.col("n_entity")))
     share = told / F.log(n / F.col("n_entity"))
     both = joint.join(entities, "entity").join(terms, "term").where(F.col("n_entity") < n).withColumn("share", share)
-    return both.where(F.col("share") >= GENERALISE).groupBy("term").agg(F.max("share").alias("share"))
+    told = both.where(F.col("share") >= GENERALISE).groupBy("term").agg(F.max("share").alias("share"))
+    return work.keep(told), held
 
 
 def _words_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(id, mark, term) of every document and each of the ``terms`` (term) that it holds."""
-    words = F.array_distinct(F.transform(F.split("text", r"[^\p{L}]+"), F.lower))
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
     return docs.select("id", "mark", F.explode(words).alias("term")).join(terms, "term", "left_semi")
 
 
-def _everywhere(docs: DataFrame, told: DataFrame, work: Scratch) -> DataFrame:
+def _everywhere(docs: DataFrame, told: DataFrame, held: DataFrame, work: Scratch) -> DataFrame:
     """(id, mark, text, extra): spans of every place of a told term outside base spans, of the texts that have any."""
-    keys = work.keep(_words_of(docs, _picked(told.select("term"))).select("id", "mark").distinct())
+    keys = work.keep(held.join(_picked(told.select("term")), "term", "left_semi").select("id", "mark").distinct())
     keys = _picked(keys.toDF("held", "held_mark"))
     same = docs["id"].eqNullSafe(keys["held"]) & (docs["mark"] == keys["held_mark"])
     texts = work.keep(docs.join(keys, same, "left_semi").dropDuplicates(["id", "mark"]).withColumn("spans", base_spans(F.col("text"))))
-    rows = texts.select("id", "mark", "spans", located(F.col("text"), _TERM, lambda value: F.lit(True)).alias("words"))
-    rows = _apart(rows, ["id", "mark"]).where(F.col("entity").isNull()).withColumn("term", F.lower("value"))
-    rows = rows.join(_picked(told), "term")
+    # words are placed on the lines that have a told one
+    lines = texts.select("id", "mark", F.explode(located(F.col("text"), "[^\\n]+", lambda value: F.lit(True))).alias("line"))
+    lines = lines.select("id", "mark", F.col("line.start").alias("at"), F.col("line.value").alias("text"))
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
+    lines = work.keep(lines.withColumn("term", F.explode(words)).join(_picked(told.select("term")), "term", "left_semi").dropDuplicates(["id", "mark", "at"]))
+    word = F.explode(located(F.col("text"), _TERM, lambda value: F.lit(True)))
+    places = lines.select("id", "mark", "at", word.alias("w")).select("id", "mark", (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"), F.col("w.value").alias("value"))
+    places = places.withColumn("term", F.lower("value")).join(_picked(told), "term").drop("term", "share")
+    places = places.groupBy("id", "mark").agg(F.collect_list(F.struct("start", "end", "value")).alias("words")).toDF("found", "found_mark", "words")
+    same = texts["id"].eqNullSafe(places["found"]) & (texts["mark"] == places["found_mark"])
+    rows = _apart(texts.join(places, same).select("id", "mark", "spans", "words"), ["id", "mark"])
+    rows = rows.where(F.col("entity").isNull()).withColumn("term", F.lower("value")).join(_picked(told), "term")
     rank = F.when(F.col("share") >= REMOVE, 4).otherwise(5)
     kind = F.when(F.col("share") >= REMOVE, KINDS[4]).otherwise(KINDS[5])
     span = F.struct("start", rank.alias("rank"), kind.alias("kind"), "end", F.col("term").alias("value"))
@@ -190,10 +200,10 @@ def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = docs.withColumn("spans", base_spans(F.col("text")))
     text = F.when(F.size("spans") > 0, F.col("text"))
     found = work.keep(marked.select(F.monotonically_increasing_id().alias("row"), "id", "mark", F.sha2("text", 256).alias("sha256"), text.alias("text"), "spans"))
-    told = work.keep(disclosing_terms(docs, found, work))
+    told, held = disclosing_terms(docs, found, work)
     if told.isEmpty():
         return found.select(F.col("id").alias(id_col), "text", "sha256", "spans")
-    extra = _everywhere(docs, told, work).toDF("held", "held_mark", "held_text", "extra")
+    extra = _everywhere(docs, told, held, work).toDF("held", "held_mark", "held_text", "extra")
     out = found.join(extra, found["id"].eqNullSafe(extra["held"]) & (found["mark"] == extra["held_mark"]), "left")
     spans = F.array_sort(F.concat("spans", F.coalesce("extra", F.array().cast(found.schema["spans"].dataType))))
     return out.select(F.col("id").alias(id_col), F.coalesce("text", "held_text").alias("text"), "sha256", spans.alias("spans"))
