@@ -1,6 +1,7 @@
 """Ingest, convert, build and the corpus tools, end to end on small captures."""
 
 import json
+import subprocess
 from collections import Counter
 from pathlib import Path
 
@@ -10,17 +11,18 @@ import yaml
 
 from vantagrid import cli
 from vantagrid.config import BuildConfig, ConvertConfig, load_build_config, load_convert_config
-from vantagrid.errors import BuildRefused, ConfigRefused, ConvertRefused, IngestRefused, KeyExists, KeyMissing, ManifestRefused, PairingRefused, SplitRefused, StoreRefused
+from vantagrid.errors import BuildRefused, ConfigRefused, ConvertRefused, IngestRefused, KeyExists, KeyMissing, ManifestRefused, NotPermitted, PairingRefused, SplitRefused, StoreRefused
 from vantagrid.functions import png
 from vantagrid.functions.text import label_line, scene_of
-from vantagrid.plans import corpus
+from vantagrid.plans import convert, corpus
 from vantagrid.plans.build import build_dataset, checked_dataset_manifest
 from vantagrid.plans.convert import convert_run, convert_runs
+from vantagrid.plans.corpus import prune, snapshot_keys
 from vantagrid.plans.ingest import ingest_capture
 from vantagrid.provenance import stamp_from
 from vantagrid.sources.documents import checked_annotations, checked_manifest, checked_provenance, list_keys
 from vantagrid.sources.frames import checked_frames
-from vantagrid.sources.store import Store
+from vantagrid.sources.store import Store, copy_file
 from vantagrid.streaming.trigger import convert_on_arrival
 
 MANIFEST = {"captured_at": "2026-07-19", "ue_map": "valley", "drone_model": "quad", "camera_sequence": "seq", "schema_version": 1}
@@ -358,3 +360,72 @@ def test_runs_as_a_data_source(spark, tmp_path):
             (tmp_path / run / "manifest.json").write_text(json.dumps(manifest, indent=2))
     rows = {r.folder: r for r in spark.read.format("runs").load(str(tmp_path)).collect()}
     assert set(rows) == {"a", "b"} and rows["a"].seed == 5 and rows["a"].problem is None and "schema_version" in rows["b"].problem
+
+
+def test_stamp_of_a_checkout(tmp_path):
+    git = lambda *a: subprocess.run(["git", "-c", "user.name=x", "-c", "user.email=x@y", *a], cwd=tmp_path, check=True, capture_output=True, text=True).stdout.strip()
+    (tmp_path / "vantagrid").mkdir()
+    code = tmp_path / "vantagrid/a.py"
+    code.write_bytes(b"one\ntwo\n")
+    assert stamp_from({}, tmp_path)["commit"] is None
+    git("init", "-q")
+    assert stamp_from({}, tmp_path) == {"repo": "vantagrid", "commit": None, "dirty": None}
+    git("add", ".")
+    git("commit", "-qm", "x")
+    head = git("rev-parse", "HEAD")[:12]
+    said = lambda: stamp_from({}, tmp_path)
+    assert said() == {"repo": "vantagrid", "commit": head, "dirty": False}
+    (tmp_path / "notes.txt").write_text("beside the code")
+    code.write_bytes(b"one\r\ntwo\r\n")
+    assert said()["dirty"] is False
+    code.write_bytes(b"one\nthree\n")
+    assert said()["dirty"] is True
+    code.write_bytes(b"one\ntwo\n")
+    (tmp_path / "vantagrid/new file.py").write_text("")
+    assert said()["dirty"] is True
+    (tmp_path / "vantagrid/new file.py").unlink()
+    code.unlink()
+    assert said()["dirty"] is True
+    assert stamp_from({"VANTAGRID_COMMIT": "abc", "VANTAGRID_DIRTY": "1"}, tmp_path) == {"repo": "vantagrid", "commit": "abc", "dirty": True}
+
+
+def test_store_puts_copies_and_deletes(spark, tmp_path):
+    store = Store.at(spark, str(tmp_path / "s"))
+    store._write_new("a/b.json", "one")
+    with pytest.raises(KeyExists):
+        store._write_new("a/b.json", "two")
+    assert store.read_text("a/b.json") == "one"
+    copy_file(store.path("a/b.json"), store.path("c/d.json"))
+    assert store.read_text("c/d.json") == "one"
+    with pytest.raises(FileNotFoundError):
+        copy_file(store.path("nothing"), store.path("c/e.json"))
+    for k in range(7):
+        store.write_text(f"k/{k}", "x")
+    assert store.deletes_at_once >= 1 and store.delete_keys(f"k/{k}" for k in range(5)) == 5
+    assert store.list_keys("k") == ["k/5", "k/6"]
+    objects = Store(spark, "s3a://bucket/raw")
+    assert objects.of_objects and not store.of_objects
+    with pytest.raises(NotPermitted):
+        objects.delete_prefix("run_1")
+
+
+def test_prune_by_a_snapshot(spark, tmp_path):
+    store = Store.at(spark, str(tmp_path / "s"))
+    for run in ("run_a", "run_b"):
+        for key in (f"raw/{run}/manifest.json", f"qc/{run}/report.json", f"datasets/auto-{run}/a b.json"):
+            store.write_text(key, "x")
+    keys = snapshot_keys(spark, store.root, str(tmp_path / "keys"))
+    store.write_text("raw/run_a/late.png", "x")
+    runs = spark.createDataFrame([("run_a",)], "run_id string")
+    want = {"raw/run_a": 1, "qc/run_a": 1, "datasets/auto-run_a": 1}
+    assert prune(spark, store.root, runs, keys=keys) == want and len(store.list_keys()) == 7
+    assert prune(spark, store.root, runs, apply=True, keys=keys) == want
+    assert [k for k in store.list_keys() if "run_a" in k] == ["raw/run_a/late.png"]
+
+
+def test_no_image_is_decoded_twice(spark, tmp_path, monkeypatch):
+    ingest(spark, tmp_path, "run_d", [(10, 20, 5, 15), None])
+    seen = []
+    monkeypatch.setattr(convert, "decoded", lambda *a, own=convert.decoded: seen.append(a[3]) or own(*a))
+    report = convert_run(spark, "run_d", converting(tmp_path), "v1")
+    assert sorted(seen) == ["mask", "normal"] and report.total_boxes == 1

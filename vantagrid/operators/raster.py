@@ -16,6 +16,19 @@ from vantagrid.schemas import ANNOTATION
 FRAMES_PER_BATCH = 16
 
 
+def with_lit(frames: DataFrame, threshold: int, key: str) -> DataFrame:
+    """(key, n_lit, lit_sum): lit pixels of frames (key, pixels array<int>, width), and their sum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(int(lit.sum()), int(pixels[lit].sum())) for pixels in _rows(b.column(1)) for lit in [raster.binarise(pixels[None], threshold)[0]]]
+            cols = [pa.array([r[i] for r in rows], pa.int64()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["k", "n_lit", "lit_sum"])
+
+    src = frames.select(F.col(key).cast("long").alias("k"), "pixels")
+    return src.mapInArrow(run, "k long, n_lit long, lit_sum long").withColumnRenamed("k", key)
+
+
 def with_components(frames: DataFrame, threshold: int, key: str) -> DataFrame:
     """(key, first_pixel, x, y, w, h, area): every eight-connected component of frames (key, pixels array<int>, width)."""
 

@@ -16,6 +16,20 @@ NEIGHBOURS, SUSPICIOUS, FLAT, SAME_HOUR, AGREES = 5, 15.0, 5.0, 0.15, 5.0
 DRAW_SEED = 20260728
 
 
+def gathered(wanted: DataFrame, key: str, documents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``wanted`` with a struct column for each kind of document (frame, its key column): null where a row has none."""
+    out = wanted
+    for name, (rows, own) in documents.items():
+        held = rows.select(F.col(own).alias(f"__{name}"), F.struct("*").alias(name))
+        out = out.join(held, F.col(key) == F.col(f"__{name}"), "left").drop(f"__{name}")
+    return out
+
+
+def first_problem(*checks: tuple[Column, Column | str]) -> Column:
+    """What the first check that holds says; null if none does."""
+    return F.coalesce(*[F.when(holds, F.lit(says) if isinstance(says, str) else says) for holds, says in checks])
+
+
 def split_subsets(runs: DataFrame, val: DataFrame, key: str) -> DataFrame:
     """``runs`` with ``subset``: val for those that ``val`` (key) names, else train."""
     held = val.select(F.col(key).alias("__held")).distinct()

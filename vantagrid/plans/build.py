@@ -47,26 +47,21 @@ def gather(spark: SparkSession, config: BuildConfig) -> DataFrame:
     def texts(paths: list[str]) -> DataFrame:
         return whole_texts(spark, paths) if paths else spark.createDataFrame([], "path string, text string")
 
-    m = read_manifests(texts(there(raw, [f"{r}/{MANIFEST}" for r in config.runs])))
-    m = m.select(F.element_at(F.split("path", "/"), -2).alias("m_run"), F.struct("*").alias("manifest"))
-    a = read_annotations(texts(there(datasets, [f"auto-{r}/annotations/{r}.json" for r in config.runs])))
-    a = a.select(F.regexp_replace(last, r"\.json$", "").alias("a_run"), F.struct("*").alias("annotated"))
-    p = read_provenance(texts(there(datasets, [f"auto-{r}/annotations/{r}{PROVENANCE_SUFFIX}" for r in config.runs])))
-    p = p.select(F.regexp_replace(last, r"\.provenance\.json$", "").alias("p_run"), F.struct("*").alias("provenance"))
-    out = wanted.join(m, F.col("run_id") == F.col("m_run"), "left").join(a, F.col("run_id") == F.col("a_run"), "left").join(p, F.col("run_id") == F.col("p_run"), "left")
-    problem = (
-        F.when(F.col("manifest").isNull(), f"has no {MANIFEST}: it was never ingested, or was pruned")
-        .when(F.col("manifest.problem").isNotNull(), F.concat(F.lit("has an invalid manifest: "), "manifest.problem"))
-        .when(F.col("annotated").isNull(), "has no annotations: convert it first")
-        .when(F.col("annotated.problem").isNotNull(), F.concat(F.lit("has invalid annotations: "), "annotated.problem"))
-        .when(F.col("provenance").isNull(), "has no converter provenance: convert it again")
-        .when(F.col("provenance.problem").isNotNull(), F.concat(F.lit("has invalid provenance: "), "provenance.problem"))
-        .when(
-            F.col("annotated.n_frames") != F.col("manifest.frame_count"),
-            F.concat(F.lit("has "), F.col("annotated.n_frames").cast("string"), F.lit(" annotated frames, its manifest says "), F.col("manifest.frame_count").cast("string")),
-        )
+    m = read_manifests(texts(there(raw, [f"{r}/{MANIFEST}" for r in config.runs]))).withColumn("of_run", F.element_at(F.split("path", "/"), -2))
+    a = read_annotations(texts(there(datasets, [f"auto-{r}/annotations/{r}.json" for r in config.runs]))).withColumn("of_run", F.regexp_replace(last, r"\.json$", ""))
+    p = read_provenance(texts(there(datasets, [f"auto-{r}/annotations/{r}{PROVENANCE_SUFFIX}" for r in config.runs]))).withColumn("of_run", F.regexp_replace(last, r"\.provenance\.json$", ""))
+    out = ops.gathered(wanted, "run_id", {"manifest": (m, "of_run"), "annotated": (a, "of_run"), "provenance": (p, "of_run")})
+    counted = F.concat(F.lit("has "), F.col("annotated.n_frames").cast("string"), F.lit(" annotated frames, its manifest says "), F.col("manifest.frame_count").cast("string"))
+    problem = ops.first_problem(
+        (F.col("manifest").isNull(), f"has no {MANIFEST}: it was never ingested, or was pruned"),
+        (F.col("manifest.problem").isNotNull(), F.concat(F.lit("has an invalid manifest: "), "manifest.problem")),
+        (F.col("annotated").isNull(), "has no annotations: convert it first"),
+        (F.col("annotated.problem").isNotNull(), F.concat(F.lit("has invalid annotations: "), "annotated.problem")),
+        (F.col("provenance").isNull(), "has no converter provenance: convert it again"),
+        (F.col("provenance.problem").isNotNull(), F.concat(F.lit("has invalid provenance: "), "provenance.problem")),
+        (F.col("annotated.n_frames") != F.col("manifest.frame_count"), counted),
     )
-    return out.drop("m_run", "a_run", "p_run").withColumn("problem", problem)
+    return out.withColumn("problem", problem)
 
 
 def _require_alike(inputs: DataFrame) -> None:

@@ -65,7 +65,8 @@ def _run_of(raw: Store, path):
     return F.element_at(F.split(F.substring_index(path, base, -1), "/"), 1)
 
 
-def _decoded(spark: SparkSession, raw: Store, run_ids: list[str], side: str) -> DataFrame:
+def decoded(spark: SparkSession, raw: Store, run_ids: list[str], side: str) -> DataFrame:
+    """(run_id, frame_index, name, image) of one pass of the runs, by Spark's image source."""
     got = spark.read.format("image").option("pathGlobFilter", "*.png").option("recursiveFileLookup", True).load([raw.path(f"{r}/{side}") for r in run_ids])
     path = F.col("image.origin")
     return got.select(_run_of(raw, path).alias("run_id"), frame_index(path).alias("frame_index"), F.element_at(F.split(path, "/"), -1).alias(f"{side}_name"), F.col("image").alias(side))
@@ -102,7 +103,7 @@ def convert_runs(spark: SparkSession, run_ids: list[str], config: ConvertConfig,
     (class_id,) = config.class_map
     raw, datasets, reports = (Store.at(spark, r) for r in (config.raw_root, config.dataset_root, config.qc_root))
     _require_frames(spark, raw, _manifests(spark, raw, run_ids))
-    normal, mask = (_decoded(spark, raw, run_ids, s) for s in ("normal", "mask"))
+    normal, mask = (decoded(spark, raw, run_ids, s) for s in ("normal", "mask"))
     pairs = normal.join(mask.drop("mask_name"), ["run_id", "frame_index"])
     path = shared_path(spark, "annotations")
     # each image is decoded once; the debug frame is drawn while it is at hand

@@ -6,14 +6,21 @@ serve as 8 by 8 rasters, labels as runs, documents and orders as frames and runs
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantagrid.functions import text
+from vantagrid.config import BuildConfig
+from vantagrid.functions import png, text
 from vantagrid.functions.tables import register
 from vantagrid.operators import pairing, qc, raster, runs
+from vantagrid.plans import build, convert, corpus
+from vantagrid.schemas import MANIFEST, PROVENANCE_SUFFIX
+from vantagrid.sources.store import Store, write_bytes
+from vantagrid.workspace import shared_path
 
 THRESHOLD, SIDE, MIN_AREA = 140, 8, 4
 
@@ -59,8 +66,7 @@ _INSTANCES = f"""{_COMPONENTS}, inst AS (
 
 
 def q_binarize(spark, d):
-    lit = F.filter("pixels", lambda v: v > THRESHOLD)
-    return rasters(spark, d).select("vec_id", F.size(lit).cast("long").alias("n_lit"), F.aggregate(lit, F.lit(0), lambda a, v: a + v).cast("long").alias("lit_sum"))
+    return raster.with_lit(rasters(spark, d), THRESHOLD, "vec_id")
 
 
 def q_components(spark, d):
@@ -99,14 +105,56 @@ def q_yolo_labels(spark, d):
     return raster_boxes(spark, d).select(F.col("frame_index").alias("vec_id"), text.label_text("boxes", "width", "height").alias("label_text"))
 
 
-def q_sky_tint(spark, d):
-    """The first half of the pixels against the second, in sums."""
-    half = SIDE * SIDE // 2
+def _pictures(spark, d):
+    """(vec_id, label, image): the first 63 pixels of each raster as a colour picture of three rows by seven, decoded."""
+    data = F.unhex(F.array_join(F.transform(F.slice("pixels", 1, 63), lambda v: F.lpad(F.hex(v), 2, "0")), ""))
+    image = F.struct(F.lit(3).alias("height"), F.lit(7).alias("width"), F.lit(3).alias("nChannels"), data.alias("data"))
+    return rasters(spark, d).select("vec_id", "label", image.alias("image"))
 
-    def total(at):
-        return F.aggregate(F.slice("pixels", at, half), F.lit(0), lambda a, v: a + v).cast("long")
 
-    return rasters(spark, d).select("vec_id", ((total(1) - total(half + 1)) / F.lit(half)).alias("tint"))
+def q_sky_tint(spark, d):
+    """Blue less red over the two top rows."""
+    got = raster.sky_tints(_pictures(spark, d).withColumn("run_id", F.col("vec_id").cast("string")), 2)
+    return got.select(F.col("run_id").cast("long").alias("vec_id"), F.round("tint", 9).alias("tint"))
+
+
+def q_annotate(spark, d):
+    """The rasters written as colour masks beside a normal picture, decoded from the files again, and annotated."""
+    base = shared_path(spark, "pictures")
+
+    def write(part) -> None:
+        for r in part:
+            values = np.array(r.pixels, np.uint8).reshape(SIDE, SIDE, 1)
+            write_bytes(f"{base}/run/mask/frame_{r.vec_id:06d}.png", png.encode(np.concatenate([values // 2, values, values // 3], axis=2)))
+            write_bytes(f"{base}/run/normal/frame_{r.vec_id:06d}.png", png.encode(np.full((SIDE, SIDE, 3), 90, np.uint8)))
+
+    rasters(spark, d).foreachPartition(write)
+    sides = [convert.decoded(spark, Store.at(spark, base), ["run"], s) for s in ("normal", "mask")]
+    pairs = sides[0].join(sides[1].drop("mask_name"), ["run_id", "frame_index"])
+    got = raster.annotate(pairs, THRESHOLD, MIN_AREA, 0)
+    box = F.explode_outer("boxes")
+    rows = got.select(F.col("frame_index").cast("long").alias("vec_id"), "problem", "normal", "width", "height", box.alias("b"))
+    return rows.select("vec_id", "problem", "normal", "width", "height", *[F.col(f"b.{c}").cast("long").alias(c) for c in ("x", "y", "w", "h", "mask_area", "components")], "b.fill_ratio")
+
+
+def q_gather_documents(spark, d):
+    """Runs made of nations, some of them incomplete or wrong: what a build would refuse each for."""
+    base = shared_path(spark, "runs")
+    nations = table(spark, d, "nation").select("n_nationkey", "n_name").collect()  # 25 by definition
+    raw, data = Store.at(spark, f"{base}/raw"), Store.at(spark, f"{base}/data")
+    for r in nations:
+        run, case = f"run_{r.n_nationkey}", r.n_nationkey % 7
+        manifest = {"run_id": run, "captured_at": "2026-01-02", "frame_count": 0 if case == 2 else 1, "ue_map": r.n_name, "drone_model": "quad", "camera_sequence": "seq", "schema_version": 1}
+        frame = {"frame_index": 0, "normal": "frame_000000.png", "width": 8, "height": 8, "boxes": []}
+        if case != 1:
+            raw.write_text(f"{run}/{MANIFEST}", json.dumps(manifest))
+        if case != 3:
+            data.write_text(f"auto-{run}/annotations/{run}.json", json.dumps([frame] * (2 if case == 4 else 1)))
+        if case != 5:
+            side = {"run_id": run} if case == 6 else {"run_id": run, "converted_at": "2026-01-03"}
+            data.write_text(f"auto-{run}/annotations/{run}{PROVENANCE_SUFFIX}", json.dumps(side))
+    config = BuildConfig(tuple(f"run_{r.n_nationkey}" for r in nations), (), "by_run", raw.root, data.root)
+    return build.gather(spark, config).select("run_id", "problem")
 
 
 def q_pairs(spark, d):
@@ -147,16 +195,11 @@ def q_scene_leaks(spark, d):
 def q_gather(spark, d):
     """Orders with their lines and customers: the first thing that is wrong with each."""
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_linenumber").alias("claimed"))
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    customers = table(spark, d, "customer").select("c_custkey")
-    out = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-    status = (
-        F.when(F.col("c_custkey").isNull(), "no customer")
-        .when(F.col("n_lines").isNull(), "no lines")
-        .when(F.col("n_lines") != F.col("claimed"), "count differs")
-        .otherwise("ok")
-    )
-    return out.select("o_orderkey", status.alias("status"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
+    customers = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("o_custkey"))
+    out = runs.gathered(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", {"lines": (lines, "l_orderkey")})
+    out = runs.gathered(out.withColumnRenamed("o_custkey", "customer_key"), "customer_key", {"customer": (customers, "c_custkey")})
+    status = runs.first_problem((F.col("customer").isNull(), "no customer"), (F.col("lines").isNull(), "no lines"), (F.col("lines.n_lines") != F.col("lines.claimed"), "count differs"))
+    return out.select("o_orderkey", F.coalesce(status, F.lit("ok")).alias("status"), F.coalesce("lines.n_lines", F.lit(0)).alias("n_lines"))
 
 
 def q_holdout(spark, d):
@@ -250,24 +293,44 @@ def q_object_counts(spark, d):
 
 
 def q_orders_rollup(spark, d):
-    """A rollup of rollups: lines by order, then all orders."""
-    per = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("low"), F.max("l_quantity").alias("high"))
-    return per.agg(F.count(F.lit(1)).alias("orders"), F.sum("n").alias("lines"), F.min("low").alias("low"), F.max("high").alias("high"))
+    """A rollup of rollups: lines by order as reports, then all orders."""
+    low, high = F.min("l_quantity"), F.max("l_quantity")
+    reports = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("frames"),
+        F.count("l_quantity").alias("total_boxes"),
+        F.count_if(F.col("l_quantity") < 5).alias("empty_frames"),
+        low.alias("box_area_min"),
+        high.alias("box_area_max"),
+        (low / 50).alias("fill_ratio_min"),
+        (high / 50).alias("fill_ratio_max"),
+    )
+    return qc.corpus_rollup(reports)
 
 
-def q_median_of_minima(spark, d):
-    per = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_quantity").alias("low"))
-    return per.agg(F.median("low").alias("median_low"), F.max("low").alias("max_low"))
+def q_order_contrast(spark, d):
+    """Lines as boxes of an order, quantities about 25 as their contrast."""
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("run_id"), (F.col("l_orderkey") % 3).alias("third"), F.array(F.struct((F.col("l_quantity").cast("double") - 25).alias("contrast"))).alias("boxes"))
+    got = qc.contrast_summary(lines, ["third"])
+    return got.select("third", "boxes", F.round("faint_share", 6).alias("faint_share"), F.round("median_of_medians", 6).alias("median_of_medians"))
 
 
-def q_faint_share(spark, d):
-    per = table(spark, d, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_totalprice") < 50000).alias("n_low"))
-    return per.select("o_orderpriority", "n", "n_low", (F.col("n_low") / F.col("n")).alias("share"))
+def _manifests_of_events(spark, d):
+    """Manifests made of events: the type is the preset, the number in the properties the distance at the end."""
+    k = F.get_json_object("props", "$.k")
+    text_ = F.concat(F.lit('{"preset": "'), F.when(F.col("event_type") != "click", F.col("event_type")).otherwise(""), F.lit('", "distance_start_cm": 4, "distance_end_cm": '), F.coalesce(k, F.lit("null")), F.lit("}"))
+    return table(spark, d, "events").select(F.lit(None).cast("string").alias("problem"), F.col("event_type").alias("run_id"), text_.alias("randomization"))
 
 
 def q_json_props(spark, d):
-    k = F.get_json_object("props", "$.k").cast("long")
-    return table(spark, d, "events").groupBy("event_type").agg(F.sum(k).alias("k_sum"), F.count(k).alias("k_n"))
+    """Presets and kinds of clips out of JSON, with how many of each are held out."""
+    val = spark.createDataFrame([("view",), ("purchase",)], "run_id string")
+    return corpus.strata_counts(corpus.strata(_manifests_of_events(spark, d)), val)
+
+
+def q_affected(spark, d):
+    """Verdicts on runs, and how many of each are held out."""
+    val = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("run_id"))
+    return corpus.affected(runs.sky_verdicts(_runs_of_users(spark, d)), val)
 
 
 def q_placements(spark, d):
@@ -278,15 +341,14 @@ def q_placements(spark, d):
 
 def q_label_pairs(spark, d):
     """Documents against their labels: both sides, and each alone."""
-    a, b = table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").select(F.col("doc_id").alias("label_id"))
-    both = a.join(b, F.col("doc_id") == F.col("label_id"), "full_outer")
-    side = F.when(F.col("label_id").isNull(), "image only").when(F.col("doc_id").isNull(), "label only").otherwise("both")
-    return both.groupBy(side.alias("side")).agg(F.count(F.lit(1)).alias("n"))
+    images, labels = (table(spark, d, t).select("doc_id", F.col("doc_id").cast("string").alias("path")) for t in ("documents", "labels"))
+    both = pairing.paired(images, labels, [], "doc_id")
+    side = runs.first_problem((F.col("right_path").isNull(), "image only"), (F.col("left_path").isNull(), "label only"))
+    return both.groupBy(F.coalesce(side, F.lit("both")).alias("side")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_preset_default(spark, d):
-    preset = F.coalesce(F.nullif("o_orderpriority", F.lit("")), F.lit("unknown"))
-    return table(spark, d, "orders").groupBy(preset.alias("preset")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, d, "orders").groupBy(corpus.preset_of("o_orderpriority").alias("preset")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_crop(spark, d):
@@ -352,8 +414,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prune_semi_join": q_prune,
     "object_counts": q_object_counts,
     "corpus_rollup": q_orders_rollup,
-    "median_of_minima": q_median_of_minima,
-    "low_share": q_faint_share,
+    "order_contrast": q_order_contrast,
+    "affected_val": q_affected,
+    "raster_annotate": q_annotate,
+    "gather_documents": q_gather_documents,
     "json_props": q_json_props,
     "placements": q_placements,
     "label_image_pairs": q_label_pairs,
@@ -409,7 +473,14 @@ min(box_area_min) AS box_area_min, max(box_area_max) AS box_area_max, min(fill_r
     "yolo_labels": f"""WITH RECURSIVE {_INSTANCES} SELECT e.vec_id, CASE WHEN b.vec_id IS NULL THEN '' ELSE
 printf('0 %.6f %.6f %.6f %.6f', (x + w / CAST(2 AS DOUBLE)) / {SIDE}, (y + h / CAST(2 AS DOUBLE)) / {SIDE}, w / CAST({SIDE} AS DOUBLE), h / CAST({SIDE} AS DOUBLE)) || chr(10) END AS label_text
 FROM embeddings e LEFT JOIN boxes b USING (vec_id)""",
-    "sky_tint": f"WITH {_PIXELS} SELECT vec_id, CAST(sum(CASE WHEN p < {SIDE * SIDE // 2} THEN val ELSE -val END) AS DOUBLE) / {SIDE * SIDE // 2} AS tint FROM px GROUP BY vec_id",
+    "sky_tint": f"WITH {_PIXELS} SELECT vec_id, round(CAST(sum(CASE p % 3 WHEN 0 THEN val WHEN 2 THEN -val ELSE 0 END) AS DOUBLE) / 14, 9) AS tint FROM px WHERE p < 42 GROUP BY vec_id",
+    "raster_annotate": f"""WITH RECURSIVE {_INSTANCES} SELECT e.vec_id, CAST(NULL AS VARCHAR) AS problem, printf('frame_%06d.png', e.vec_id) AS normal, {SIDE} AS width, {SIDE} AS height,
+  x, y, w, h, a AS mask_area, n AS components, round_even(a / CAST(w * h AS DOUBLE), 4) AS fill_ratio FROM embeddings e LEFT JOIN boxes USING (vec_id)""",
+    "gather_documents": """SELECT 'run_' || n_nationkey AS run_id, CASE n_nationkey % 7 WHEN 1 THEN 'has no manifest.json: it was never ingested, or was pruned'
+  WHEN 2 THEN 'has an invalid manifest: frame_count 0 is not positive' WHEN 3 THEN 'has no annotations: convert it first' WHEN 4 THEN 'has 2 annotated frames, its manifest says 1'
+  WHEN 5 THEN 'has no converter provenance: convert it again' WHEN 6 THEN 'has invalid provenance: provenance lacks run_id or converted_at' END AS problem FROM nation""",
+    "affected_val": f"""WITH {_NEIGHBOURS}, v AS (SELECT run_id, CASE WHEN abs(off) <= 15.0 THEN 'ok' WHEN twin IS NOT NULL THEN 'corroborated' WHEN testable THEN 'wrong' ELSE 'unclear' END AS verdict FROM e LEFT JOIN tw USING (run_id))
+SELECT verdict, count(*) AS n, count(*) FILTER (WHERE run_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')) AS n_val FROM v GROUP BY 1""",
     "pair_full_outer": """WITH t AS (SELECT conv_id, turn // 2 AS slot, role, conv_id || '/' || turn AS path FROM conversations),
 j AS (SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.slot, b.slot) AS slot, a.path AS l, b.path AS r
       FROM (SELECT * FROM t WHERE role = 'user') a FULL JOIN (SELECT * FROM t WHERE role = 'assistant') b ON a.conv_id = b.conv_id AND a.slot = b.slot)
@@ -446,10 +517,14 @@ SELECT run_id, key FROM o WHERE run_id IN (SELECT 'run_' || c_custkey FROM custo
 SELECT r.run_id, count(*) FILTER (WHERE area = 'raw') AS raw, count(*) FILTER (WHERE area = 'datasets') AS dataset, count(*) FILTER (WHERE area = 'qc') AS qc,
   count(*) FILTER (WHERE area = 'raw') = 22 AND count(*) FILTER (WHERE area = 'datasets') = 2 AND count(*) FILTER (WHERE area = 'qc') = 11 AS complete
 FROM (SELECT DISTINCT 'run_' || user_id AS run_id FROM events) r LEFT JOIN o USING (run_id) GROUP BY r.run_id""",
-    "corpus_rollup": "SELECT count(*) AS orders, CAST(sum(n) AS BIGINT) AS lines, min(low) AS low, max(high) AS high FROM (SELECT l_orderkey, count(*) AS n, min(l_quantity) AS low, max(l_quantity) AS high FROM lineitem GROUP BY 1)",
-    "median_of_minima": "SELECT median(low) AS median_low, max(low) AS max_low FROM (SELECT min(l_quantity) AS low FROM lineitem GROUP BY l_orderkey)",
-    "low_share": "SELECT o_orderpriority, count(*) AS n, count(*) FILTER (WHERE o_totalprice < 50000) AS n_low, count(*) FILTER (WHERE o_totalprice < 50000) / CAST(count(*) AS DOUBLE) AS share FROM orders GROUP BY 1",
-    "json_props": "SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum, count(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_n FROM events GROUP BY 1",
+    "corpus_rollup": """SELECT count(*) AS runs, CAST(sum(n) AS BIGINT) AS frames, CAST(sum(b) AS BIGINT) AS total_boxes, CAST(sum(e) AS BIGINT) AS empty_frames, min(low) AS box_area_min, max(high) AS box_area_max,
+  min(low / 50) AS fill_ratio_min, max(high / 50) AS fill_ratio_max
+FROM (SELECT l_orderkey, count(*) AS n, count(l_quantity) AS b, count(*) FILTER (WHERE l_quantity < 5) AS e, min(l_quantity) AS low, max(l_quantity) AS high FROM lineitem GROUP BY 1)""",
+    "order_contrast": """WITH o AS (SELECT l_orderkey % 3 AS third, l_orderkey, count(*) AS n, count(*) FILTER (WHERE abs(CAST(l_quantity AS DOUBLE) - 25) < 8.0) AS faint, median(CAST(l_quantity AS DOUBLE) - 25) AS m FROM lineitem GROUP BY 1, 2)
+SELECT third, CAST(sum(n) AS BIGINT) AS boxes, round(CAST(sum(faint) AS DOUBLE) / sum(n), 6) AS faint_share, round(median(m), 6) AS median_of_medians FROM o GROUP BY 1""",
+    "json_props": """SELECT CASE event_type WHEN 'click' THEN 'unknown' ELSE event_type END AS preset,
+  CASE WHEN json_extract_string(props, '$.k') IS NULL THEN 'unknown' WHEN CAST(json_extract_string(props, '$.k') AS DOUBLE) / 4 >= 5.0 THEN 'recession' ELSE 'crossing' END AS kind,
+  count(*) AS n, count(*) FILTER (WHERE event_type IN ('view', 'purchase')) AS n_val FROM events GROUP BY 1, 2""",
     "placements": f"WITH {_SPLIT} SELECT doc_id, 'images/' || subset || '/' || source || printf('_%06d', doc_id) || '.png' AS image_key FROM sp",
     "label_image_pairs": "SELECT CASE WHEN l.doc_id IS NULL THEN 'image only' WHEN d.doc_id IS NULL THEN 'label only' ELSE 'both' END AS side, count(*) AS n FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1",
     "preset_default": "SELECT coalesce(nullif(o_orderpriority, ''), 'unknown') AS preset, count(*) AS n FROM orders GROUP BY 1",

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import islice
 from pathlib import Path
-from urllib.parse import urlparse
+from urllib.parse import quote, urlparse
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -183,10 +183,11 @@ class Store:
 
 
 def arrow_path(uri: str):
-    """Arrow's file system and path of a URI, for use in tasks."""
+    """Arrow's file system and path of a URI, for use in tasks; the path is taken as it is, whatever signs it has."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    scheme, _, rest = uri.replace("s3a://", "s3://", 1).partition(":")
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
 
 
 def copy_file(source: str, target: str) -> None:
