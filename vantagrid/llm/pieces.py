@@ -108,7 +108,7 @@ class Vocabulary:
         """Rank of the piece that two pieces make, NONE where they make none; padding is -1."""
         key = (left << 15) | right
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where((self.pair_keys[at] == key) & (left >= 0) & (right >= 0), self.pair_ranks[at], NONE)
+        return np.where((self.pair_keys[at] == key) & (left >= 0) & (right >= 0), self.pair_ranks[at], np.int32(NONE))
 
     def merged_all(self, parts: list[str], keys: list[int], limit: int) -> list[bytes]:
         """``merged`` of many parts, as bytes of 32-bit numbers; parts of like length advance together."""
@@ -174,11 +174,12 @@ class Vocabulary:
         ``forced`` says which entries of a row are skipped; ``told`` gets (rows, candidates) of each step.
         """
         n, width = symbols.shape
+        symbols = symbols.astype(np.int32)
         final = symbols.copy()
         if width > 1:
-            row, place = np.arange(n), np.tile(np.arange(width), (n, 1))
+            row, place = np.arange(n), np.tile(np.arange(width, dtype=np.int16), (n, 1))
             agenda = self.ranks(symbols[:, :-1], symbols[:, 1:])
-            across, step = np.arange(width), -1
+            across, step = np.arange(width - 1, dtype=np.int16), -1
             while len(row):
                 at = agenda.argmin(axis=1)
                 here = np.arange(len(row))
@@ -186,44 +187,53 @@ class Vocabulary:
                 done = best == NONE
                 if done.any():
                     final[row[done]] = symbols[done]
-                    go = ~done
-                    row, symbols, place, agenda, at, best = row[go], symbols[go], place[go], agenda[go], at[go], best[go]
-                    here = np.arange(len(row))
-                    if not len(row):
+                    go = np.flatnonzero(~done)
+                    if not len(go):
                         break
+                    row, symbols, place, agenda, at, best = row[go], symbols[go], place[go], agenda[go], at[go], best[go]
+                    here = here[: len(go)]
                 step += 1
+                if told is not None or limit:
+                    mixed = place[here, at].astype(np.int64) * 40503 + best.astype(np.int64) * 69621
                 if told is not None:
-                    told.append((row, (place[here, at] * 40503 + best.astype(np.int64) * 69621) & 0x3FFFFFFF))
-                if limit or forced is not None and step < forced.shape[1]:
-                    if limit:
-                        skip = dropped(key[row] + place[here, at] * 40503 + best.astype(np.int64) * 69621, limit)
-                    else:
-                        skip = forced[row, step]
-                    agenda[here[skip], at[skip]] = NONE
-                    go = np.flatnonzero(~skip)
-                    if not len(go):
-                        continue
-                else:
-                    go = here
-                i = at[go]
-                shift = np.minimum(across + (across > i[:, None]), width - 1)
-                moved = np.take_along_axis(symbols[go], shift, 1)
-                moved[:, -1] = -1
-                now = np.arange(len(go))
-                moved[now, i] = self.id_of_rank[best[go]]
-                symbols[go] = moved
-                place[go] = np.take_along_axis(place[go], shift, 1)
-                gap = np.minimum(across[:-1] + (across[:-1] >= i[:, None]), width - 2)
-                rest = np.take_along_axis(agenda[go], gap, 1)
-                rest[:, -1] = NONE
-                behind = i < width - 1
-                rest[now[behind], i[behind]] = self.ranks(moved[now[behind], i[behind]], moved[now[behind], i[behind] + 1])
-                front = i > 0
-                rest[now[front], i[front] - 1] = self.ranks(moved[now[front], i[front] - 1], moved[now[front], i[front]])
-                agenda[go] = rest
+                    told.append((row, mixed & 0x3FFFFFFF))
+                skip = None
+                if limit:
+                    skip = dropped(key[row] + mixed, limit)
+                elif forced is not None and step < forced.shape[1]:
+                    skip = forced[row, step]
+                if skip is None or not skip.any():
+                    symbols, place, agenda = self._merge(symbols, place, agenda, at, best, across)
+                    continue
+                agenda[here[skip], at[skip]] = NONE
+                go = np.flatnonzero(~skip)
+                if len(go):
+                    symbols[go], place[go], agenda[go] = self._merge(symbols[go], place[go], agenda[go], at[go], best[go], across)
         kept = final >= 0
         return final[kept].astype(np.int32), kept.sum(axis=1)
 
+    def _merge(self, symbols: np.ndarray, place: np.ndarray, agenda: np.ndarray, at: np.ndarray, best: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows with the pair at ``at`` made one piece: what is behind moves up, and the pairs beside it are ranked anew."""
+        now = np.arange(len(at))
+        behind = across > at.astype(np.int16)[:, None]
+        moved = np.empty_like(symbols)
+        moved[:, :-1] = np.where(behind, symbols[:, 1:], symbols[:, :-1])
+        moved[:, -1] = -1
+        moved[now, at] = self.id_of_rank[best]
+        places = np.empty_like(place)
+        places[:, :-1] = np.where(behind, place[:, 1:], place[:, :-1])
+        places[:, -1] = 0
+        rest = np.empty_like(agenda)
+        rest[:, :-1] = np.where(across[:-1] >= at.astype(np.int16)[:, None], agenda[:, 1:], agenda[:, :-1])
+        rest[:, -1] = NONE
+        own, right = moved[now, at], np.minimum(at + 1, moved.shape[1] - 1)
+        inner = at < rest.shape[1]
+        ranks = self.ranks(own, np.where(at + 1 < moved.shape[1], moved[now, right], -1))
+        rest[now[inner], at[inner]] = ranks[inner]
+        front = np.flatnonzero(at > 0)
+        rest[front, at[front] - 1] = self.ranks(moved[front, at[front] - 1], own[front])
+        return moved, places, rest
+
     def merged(self, part: str, key: int = 0, limit: int = 0) -> list[int]:
         """Pieces of a part, blanks as BLANK; ``limit`` is the rate of skipped merges in 2**-30.
 
