@@ -22,7 +22,9 @@ import heapq
 import re
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -122,8 +124,8 @@ class Vocabulary:
         even = np.flatnonzero(~odd)
         even = even[np.argsort(size[even], kind="stable")]
         key = np.array(keys, np.int64)
-        for at in range(0, len(even), 4096):
-            some = even[at : at + 4096]
+        for at in range(0, len(even), 2048):
+            some = even[at : at + 2048]
             width = int(size[some[-1]])
             grid = begin[some][:, None] + np.arange(width)
             inside = np.arange(width) < size[some][:, None]
@@ -147,8 +149,8 @@ class Vocabulary:
         out: list[bytes] = [b""] * len(parts)
         rows, taken = [], []
         order = np.argsort(size, kind="stable")
-        for at in range(0, len(order), 4096):
-            some = order[at : at + 4096]
+        for at in range(0, len(order), 2048):
+            some = order[at : at + 2048]
             inside = np.arange(size[some[-1]]) < size[some][:, None]
             block = np.where(inside, symbols[np.where(inside, begin[some][:, None] + np.arange(size[some[-1]]), 0)], -1)
             mine = [paths[k] for k in some.tolist()]
@@ -313,7 +315,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        #: First nodes of words, with a blank in front and without.
+        #: Words met once so far; first nodes of words, with a blank in front and without.
+        self.met: set[str] = set()
         self.behind: dict[str, int] = {}
         self.plain: dict[str, int] = {SIGN: 1}
         #: Of each node: part, steps skipped, pieces. The first two are the line end and the blank's sign.
@@ -339,12 +342,21 @@ class Encoder:
 
     def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
         """Each text's pieces as bytes of 32-bit numbers; the keys are the documents'."""
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) > REMEMBERED or len(self.met) > 2 * REMEMBERED:
             self.forget()
         docs = [self._lines(t) if t else [] for t in texts]
+        # a word met for the first time, and once, is merged by its own draws; nodes are for words that come again
+        once: list[str] = []
+        passing: list[tuple[dict[str, int], list[str]]] = []
         for known, front, which in ((self.plain, "", 0), (self.behind, BLANK, 1)):
-            fresh = sorted({w for lines in docs for line in lines for w in line[which] if w not in known})
-            known.update(zip(fresh, self._grow([front + w for w in fresh], [()] * len(fresh)), strict=True))
+            times = Counter(filterfalse(known.__contains__, chain.from_iterable(line[which] for lines in docs for line in lines)))
+            again = sorted(w for w, n in times.items() if n > 1 or front + w in self.met)
+            known.update(zip(again, self._grow([front + w for w in again], [()] * len(again)), strict=True))
+            alone = sorted(times.keys() - set(again))
+            known.update(zip(alone, range(-2 - len(once), -2 - len(once) - len(alone), -1), strict=True))
+            once += [front + w for w in alone]
+            passing.append((known, alone))
+        self.met.update(once)
         out = []
         for lines, key in zip(docs, keys, strict=True):
             found: list[int] = []
@@ -358,11 +370,20 @@ class Encoder:
         nodes = np.concatenate([np.zeros(0, np.int64), *out])
         drawn = [word_keys(zlib.crc32(b"%d" % k, self.seed), np.arange(n)) for k, n in zip(keys, size, strict=True)]
         key = np.concatenate([np.zeros(0, np.int64), *drawn])
+        for known, alone in passing:
+            for w in alone:
+                del known[w]
+        single = np.flatnonzero(nodes < 0)
+        parts = [once[k] for k in (-2 - nodes[single]).tolist()]
+        nodes[single] = 0
         odd = np.flatnonzero(self.count[nodes] < 0).tolist()
         if self.limit:
-            for at in range(0, len(nodes), 1 << 17):
-                self._walk(nodes[at : at + (1 << 17)], key[at : at + (1 << 17)])
+            for at in range(0, len(nodes), 1 << 15):
+                self._walk(nodes[at : at + (1 << 15)], key[at : at + (1 << 15)])
         found = list(map(self.pieces.__getitem__, nodes.tolist()))
+        if parts:
+            for k, merged in zip(single.tolist(), self.v.merged_all(parts, key[single].tolist(), self.limit), strict=True):
+                found[k] = merged
         if self.limit:
             for k in odd:
                 found[k] = array("i", self.v.merged(self.parts[nodes[k]], int(key[k]), self.limit)).tobytes()
