@@ -40,7 +40,7 @@ BLANK = "▁"
 #: Stands for the blank's sign where a text holds it; no word has a line end.
 SIGN = "\n"
 #: Rate of skipped merges, and nodes of words a task remembers.
-DROPOUT, REMEMBERED = 0.1, 600_000
+DROPOUT, REMEMBERED = 0.1, 400_000
 
 #: Characters of a part up to which its agenda is a list.
 LONG = 48

@@ -307,9 +307,13 @@ class Words:
     def __init__(self):
         self.of, self.now, self.before = 0, {}, {}
 
+    def forget(self) -> None:
+        self.of, self.now, self.before = 0, {}, {}
+
     def ready(self, of: int) -> dict[str, float]:
         if of != self.of:
-            self.of, self.now, self.before = of, {}, {}
+            self.forget()
+            self.of = of
         elif len(self.now) > REMEMBERED:
             self.now, self.before = {}, self.now
         return self.now
@@ -514,6 +518,8 @@ def without_toxic(df: DataFrame, model: Model | None, text_col: str = "text", th
             kept = b.filter(pa.array(score < threshold))
             if kept.num_rows:
                 yield kept
+        # the process goes on to other work
+        _WORDS.forget()
 
     bounded_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)
