@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vantagrid.operators import runs
 from vantagrid.plans import queries
+from vantagrid.workspace import shared_path
 
 DATA = "/root/testdata/sf0.001"
 
@@ -57,3 +58,14 @@ def test_filters_reach_the_scan(spark):
 def test_counts_are_summed_before_they_are_shuffled(spark):
     text = plan(runs.prefix_counts(queries.table(spark, DATA, "pages").select(F.col("url").alias("key")), F.substring("key", 1, 9)))
     assert text.index("partial_count") > text.index("Exchange")  # the partial sum stands below the exchange
+
+
+@pytest.mark.parametrize("shape", ["{}", "file:{}", "file://{}/"])
+def test_shared_folder_with_and_without_a_scheme(spark, tmp_path, monkeypatch, shape):
+    """What tasks write there is what Spark reads back, however the session names the folder."""
+    own = type(spark.conf).get
+    monkeypatch.setattr(type(spark.conf), "get", lambda conf, key, *a: shape.format(tmp_path) if key == "spark.checkpoint.dir" else own(conf, key, *a))
+    got = queries.QUERIES["raster_annotate"](spark, "/root/testdata/sf0.001").select("vec_id", "normal", "problem").collect()
+    assert shared_path(spark, "x").startswith(f"file://{tmp_path}/x-")
+    assert sorted(tuple(r) for r in got) == [(k, f"frame_{k:06d}.png", None) for k in range(500)]
+    assert all(p.suffix == ".png" for p in tmp_path.glob("pictures-*/run/*/frame*"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -17,4 +19,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
         if spark.sparkContext.master.partition("[")[0] != "local":
             raise ConfigRefused("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="vantagrid-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_qualified(spark, root).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _qualified(spark: SparkSession, root: str) -> str:
+    """A folder as a URI with its store: without one it is the default file system's, as Spark itself takes it."""
+    if urlparse(root).scheme not in ("", "file"):
+        return root
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", uri)
