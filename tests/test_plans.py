@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vantagrid.operators import runs
 from vantagrid.plans import queries
+from vantagrid.sources.store import read_bytes, write_bytes
 from vantagrid.workspace import shared_path
 
 DATA = "/root/testdata/sf0.001"
@@ -69,3 +70,8 @@ def test_shared_folder_with_and_without_a_scheme(spark, tmp_path, monkeypatch, s
     assert shared_path(spark, "x").startswith(f"file://{tmp_path}/x-")
     assert sorted(tuple(r) for r in got) == [(k, f"frame_{k:06d}.png", None) for k in range(500)]
     assert all(p.suffix == ".png" for p in tmp_path.glob("pictures-*/run/*/frame*"))
+
+
+def test_tasks_take_a_path_without_a_scheme_as_local(tmp_path):
+    write_bytes(f"{tmp_path}/a b/c%20.txt", b"x")
+    assert (tmp_path / "a b/c%20.txt").read_bytes() == b"x" and read_bytes(f"{tmp_path}/a b/c%20.txt") == b"x"

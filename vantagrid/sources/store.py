@@ -183,9 +183,14 @@ class Store:
 
 
 def arrow_path(uri: str):
-    """Arrow's file system and path of a URI, for use in tasks; the path is taken as it is, whatever signs it has."""
+    """Arrow's file system and path of a URI, for use in tasks; the path is taken as it is, whatever signs it has.
+
+    A path without a scheme is a local one, as for ``Store.at``.
+    """
     from pyarrow import fs
 
+    if uri.startswith("/"):
+        return fs.LocalFileSystem(), uri
     scheme, _, rest = uri.replace("s3a://", "s3://", 1).partition(":")
     return fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
 
