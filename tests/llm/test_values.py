@@ -352,6 +352,39 @@ def test_every_occurrence_of_a_word_draws_for_itself(vocabulary):
     assert len({tuple(vocabulary.merged(parts[0], k, encoder.limit)) for k in keys[0]}) > 4
 
 
+def test_draws_met_once_make_no_node(vocabulary, corpus, monkeypatch):
+    """They are merged once, as words met once are; the pieces are those of every word by itself, in any blocks."""
+    texts, keys = [*corpus.values(), *HARD] * 2, list(range(2 * len(corpus) + 2 * len(HARD)))
+    rows = []
+    own = pieces.Vocabulary._block
+    monkeypatch.setattr(pieces.Vocabulary, "_block", lambda v, symbols, *a: rows.append(len(symbols)) or own(v, symbols, *a))
+    encoder = pieces.Encoder(vocabulary, 1, 0.1)
+    got = encoder.encode_all(texts, keys)
+    assert len(encoder.parts) < 0.7 * sum(rows)
+    monkeypatch.undo()
+    for name in ("ROWS", "WORDS"):
+        monkeypatch.setattr(pieces, name, 97)
+    assert pieces.Encoder(vocabulary, 1, 0.1).encode_all(texts, keys) == got
+    alone = [pieces.Encoder(vocabulary, 1, 0.1).encode(t, k) for t, k in zip(texts[-40:], keys[-40:], strict=True)]
+    assert got[-40:] == alone
+    for t, k, ids in zip(texts, keys, got, strict=True):
+        if "\n" not in t and pieces.BLANK not in t and "  " not in t and t[:1] not in ("", " ") and t[-1:] != " " and len(t) < 3000:
+            words = [pieces.BLANK + w for w in t.split(" ")]
+            draws = pieces.word_keys(zlib.crc32(b"%d" % k, 1), np.arange(len(words))).tolist()
+            assert np.frombuffer(ids, np.int32).tolist() == [x for w, d in zip(words, draws, strict=True) for x in vocabulary.merged(w, d, encoder.limit)]
+
+
+def test_every_pair_has_its_own_slot(vocabulary):
+    pairs = [(vocabulary.ids[p[:k]], vocabulary.ids[p[k:]], vocabulary.rank[p]) for p in vocabulary.ids for k in range(1, len(p)) if p[:k] in vocabulary.ids and p[k:] in vocabulary.ids]
+    left, right, rank = (np.array(x, np.int32) for x in zip(*pairs, strict=True))
+    assert (vocabulary.ranks(left, right) == rank).all()
+    there = set(zip(left.tolist(), right.tolist(), strict=True))
+    draw = np.random.default_rng(1)
+    a, b = (draw.integers(-1, len(vocabulary.bytes_of), 200_000, np.int32) for _ in range(2))
+    none = np.array([p not in there for p in zip(a.tolist(), b.tolist(), strict=True)])
+    assert (vocabulary.ranks(a, b)[none] == pieces.NONE).all() and none.sum() > 190_000
+
+
 def test_piece_query(spark, corpus, sf_dir):
     for rows, got in ((list(corpus.items()), queries.op4_pieces(spark, SMALL).collect()), ([(r[0], r[1]) for r in ODD], queries.op4_pieces(spark, sf_dir(ODD)).collect())):
         assert sorted((str(r.doc_id), r.decoded_sha256) for r in got) == sorted((str(i), sha((t or "").encode())) for i, t in rows)

@@ -6,8 +6,9 @@ agenda: the best-scored pair first, leftmost among equals. With dropout each
 candidate taken off the agenda is skipped where a keyed hash of seed, document, place of
 the word in it, place in the word and piece falls below the rate, so every occurrence of
 a word draws for itself and yet reruns agree. What is remembered of a word is a tree: a
-node for each run of decisions met so far, with its pieces and the candidates that it
-takes when nothing more is skipped. Without dropout the result is that of the vocabulary's own encoder.
+node for each run of decisions that came again, with its pieces and the candidates that it
+takes when nothing more is skipped. A word or a run of decisions that is met once so far is
+merged by its own draws. Without dropout the result is that of the vocabulary's own encoder.
 
 Decoding is lossless for every text: characters without a piece are spelled in byte
 pieces, and so is the blank's own sign where a text holds it literally.
@@ -21,10 +22,8 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from array import array
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, filterfalse
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +41,60 @@ SIGN = "\n"
 #: Rate of skipped merges, and nodes of words a task remembers.
 DROPOUT, REMEMBERED = 0.1, 400_000
 
+#: Rows of a block that are merged together, and words whose draws are looked at together.
+ROWS, WORDS = 2048, 1 << 15
 #: Characters of a part up to which its agenda is a list.
 LONG = 48
+#: Multiplier of a pair's bucket, and bits that buckets and slots leave out of 32.
+BUCKET, BUCKET_BITS, SLOT_BITS = np.uint32(0x85EBCA6B), 18, 15
 #: Rank of a pair that makes no piece.
 NONE = 1 << 30
 
 
+def _perfect(pairs: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A table in which every key has a slot for itself: a factor for each bucket of keys, and the slots' keys and values; keys that are not there, negative ones too, meet another or -1."""
+    buckets: dict[int, list[int]] = {}
+    for key in pairs:
+        buckets.setdefault((key * int(BUCKET) & 0xFFFFFFFF) >> BUCKET_BITS, []).append(key)
+    keys, values = np.full(1 << 32 - SLOT_BITS, -1, np.int32), np.full(1 << 32 - SLOT_BITS, NONE, np.int32)
+    factors, taken = np.ones(1 << 32 - BUCKET_BITS, np.uint32), set()
+    for bucket, some in sorted(buckets.items(), key=lambda b: (-len(b[1]), b[0])):
+        for factor in range(0x9E3779B1, 1 << 32, 2):
+            slots = {(key * factor & 0xFFFFFFFF) >> SLOT_BITS for key in some}
+            if len(slots) == len(some) and taken.isdisjoint(slots):
+                break
+        else:
+            raise ValueError("too many pairs of pieces")
+        taken |= slots
+        factors[bucket] = factor
+        for key in some:
+            slot = (key * factor & 0xFFFFFFFF) >> SLOT_BITS
+            keys[slot], values[slot] = key, pairs[key]
+    return factors, keys, values
+
+
+def _placed(out: list[np.ndarray], order: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists in one array, with the begin and size of each by its number; ``order`` has the numbers as the lists come."""
+    numbers, n = np.concatenate(order), np.concatenate(counts)
+    begin, size = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+    begin[numbers], size[numbers] = np.cumsum(n) - n, n
+    return np.concatenate(out), begin, size
+
+
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype: type):
+        self.all, self.n = np.zeros(4096, dtype), 0
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.n + len(values)
+        if n > len(self.all):
+            self.all = np.concatenate([self.all[: self.n], np.zeros(max(n, 2 * self.n) - self.n, self.all.dtype)])
+        self.all[self.n : n] = values
+        self.n = n
+
+
 def skipped(key: int, place: int, rank: int, limit: int) -> bool:
     """Whether the candidate of this rank at this place is dropped: a keyed hash of 30 bits under the limit."""
     h = (key + place * 40503 + rank * 69621) & 0x3FFFFFFF
@@ -56,10 +103,13 @@ def skipped(key: int, place: int, rank: int, limit: int) -> bool:
 
 
 def dropped(mixed: np.ndarray, limit: int) -> np.ndarray:
-    """``skipped`` of many candidates, their key, place and rank added up."""
-    h = mixed & 0x3FFFFFFF
-    h = ((h ^ (h >> 15)) * 0x2C1B3C6D) & 0x3FFFFFFF
-    return (h ^ (h >> 13)) < limit
+    """``skipped`` of many candidates, their key, place and rank added up in 32 bits."""
+    h = mixed & np.uint32(0x3FFFFFFF)
+    h ^= h >> 15
+    h *= np.uint32(0x2C1B3C6D)
+    h &= np.uint32(0x3FFFFFFF)
+    h ^= h >> 13
+    return h < limit
 
 
 def word_keys(begin: int, places: np.ndarray) -> np.ndarray:
@@ -94,8 +144,7 @@ class Vocabulary:
         order_ids = np.array(order, np.int64)
         self.id_of_rank = order_ids
         pairs = {self.ids[p[:k]] << 15 | self.ids[p[k:]]: self.rank[p] for p in self.ids for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids}
-        self.pair_keys = np.array(sorted(pairs), np.int32)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32)
+        self.factors, self.pair_keys, self.pair_ranks = _perfect(pairs)
         self.char_ids = np.full(0x110000, -1, np.int32)
         for p, i in self.ids.items():
             if len(p) == 1:
@@ -109,66 +158,75 @@ class Vocabulary:
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the piece that two pieces make, NONE where they make none; padding is -1."""
         key = (left << 15) | right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where((self.pair_keys[at] == key) & (left >= 0) & (right >= 0), self.pair_ranks[at], np.int32(NONE))
+        sign = key.view(np.uint32)
+        slot = (sign * self.factors[(sign * BUCKET) >> BUCKET_BITS]) >> SLOT_BITS
+        return np.where(self.pair_keys[slot] == key, self.pair_ranks[slot], np.int32(NONE))
 
     def merged_all(self, parts: list[str], keys: list[int], limit: int) -> list[bytes]:
-        """``merged`` of many parts, as bytes of 32-bit numbers; parts of like length advance together."""
-        out: list[bytes] = [b""] * len(parts)
+        """``merged`` of many parts, as bytes of 32-bit numbers."""
+        flat, begin, size = self.merged_flat(parts, np.array(keys, np.int64), limit)
+        return [flat[a : a + n].tobytes() for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
+
+    def merged_flat(self, parts: list[str], key: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``merged`` of many parts in one array, where each begins in it, and its size; parts of like length advance together."""
         size = np.array([len(p) for p in parts], np.int64)
         codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.int32)
         symbols, begin = self.char_ids[codes], np.cumsum(size) - size
-        odd = (size > LONG) | (np.add.reduceat(symbols < 0, begin) > 0)
-        for k in np.flatnonzero(odd).tolist():
-            out[k] = array("i", self.merged(parts[k], keys[k], limit)).tobytes()
+        unknown = np.bincount(np.repeat(np.arange(len(parts)), size)[symbols < 0], minlength=len(parts))
+        odd = (size > LONG) | (unknown > 0)
+        out, order, counts = [np.zeros(0, np.int32)], [np.flatnonzero(odd)], []
+        for k in order[0].tolist():
+            out.append(np.array(self.merged(parts[k], int(key[k]), limit), np.int32))
+        counts.append(np.array([len(x) for x in out[1:]], np.int64))
         even = np.flatnonzero(~odd)
         even = even[np.argsort(size[even], kind="stable")]
-        key = np.array(keys, np.int64)
-        for at in range(0, len(even), 2048):
-            some = even[at : at + 2048]
-            width = int(size[some[-1]])
-            grid = begin[some][:, None] + np.arange(width)
-            inside = np.arange(width) < size[some][:, None]
-            block = np.where(inside, symbols[np.where(inside, grid, 0)], -1)
-            flat, counts = self._block(block, key[some], limit)
-            ends = np.cumsum(counts) * 4
-            data = flat.tobytes()
-            low = 0
-            for k, high in zip(some.tolist(), ends.tolist(), strict=True):
-                out[k] = data[low:high]
-                low = high
-        return out
-
-    def traced(self, parts: list[str], paths: list[tuple[int, ...]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Pieces of each part when the candidates counted in its path are skipped; the candidates taken behind them, as the hash adds them, and their numbers.
+        for at in range(0, len(even), ROWS):
+            some = even[at : at + ROWS]
+            flat, n = self._block(self._grid(symbols, begin[some], size[some]), key[some], limit)
+            out.append(flat)
+            order.append(some)
+            counts.append(n)
+        return _placed(out, order, counts)
+
+    def _grid(self, symbols: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Symbols of parts as rows, filled up with -1."""
+        across = np.arange(size.max(initial=0))
+        inside = across < size[:, None]
+        return np.where(inside, symbols[np.where(inside, begin[:, None] + across, 0)], -1)
+
+    def traced(self, parts: list[str], paths: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of each part when the candidates counted in its path are skipped, as ``merged_flat`` gives them; the candidates taken behind them, as the hash adds them, and their numbers.
 
         For parts of known characters, up to LONG.
         """
         size = np.array([len(p) for p in parts], np.int64)
         symbols, begin = self.char_ids[np.frombuffer("".join(parts).encode("utf-32-le"), np.int32)], np.cumsum(size) - size
-        out: list[bytes] = [b""] * len(parts)
-        rows, taken = [], []
-        order = np.argsort(size, kind="stable")
-        for at in range(0, len(order), 2048):
-            some = order[at : at + 2048]
-            inside = np.arange(size[some[-1]]) < size[some][:, None]
-            block = np.where(inside, symbols[np.where(inside, begin[some][:, None] + np.arange(size[some[-1]]), 0)], -1)
-            mine = [paths[k] for k in some.tolist()]
-            forced = np.zeros((len(some), 1 + max((p[-1] for p in mine if p), default=0)), bool)
-            deep = [len(p) for p in mine]
-            forced[np.repeat(np.arange(len(mine)), deep), np.array([x for p in mine for x in p], np.int64)] = True
+        deep = np.array([len(p) for p in paths], np.int64)
+        steps = np.fromiter(chain.from_iterable(paths), np.int64, int(deep.sum()))
+        below = np.cumsum(deep)
+        last = np.full(len(parts), -1)
+        last[deep > 0] = steps[below[deep > 0] - 1]
+        out, order, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        rows, taken = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        by_size = np.argsort(size, kind="stable")
+        for at in range(0, len(by_size), ROWS):
+            some = by_size[at : at + ROWS]
+            forced = np.zeros((len(some), 1 + max(0, int(last[some].max()))), bool)
+            n = deep[some]
+            ends = np.cumsum(n)
+            forced[np.repeat(np.arange(len(some)), n), steps[np.repeat(below[some] - ends, n) + np.arange(ends[-1])]] = True
             told: list[tuple[np.ndarray, np.ndarray]] = []
-            flat, counts = self._block(block, None, 0, forced, told)
-            last = np.array([p[-1] if p else -1 for p in mine], np.int64)
+            flat, n = self._block(self._grid(symbols, begin[some], size[some]), None, 0, forced, told)
+            out.append(flat)
+            order.append(some)
+            sizes.append(n)
+            behind = last[some]
             for step, (row, mixed) in enumerate(told):
-                behind = step > last[row]
-                rows.append(some[row[behind]])
-                taken.append(mixed[behind])
-            data, low = flat.tobytes(), 0
-            for k, high in zip(some.tolist(), (np.cumsum(counts) * 4).tolist(), strict=True):
-                out[k], low = data[low:high], high
-        row = np.concatenate([np.zeros(0, np.int64), *rows])
-        return out, np.concatenate([np.zeros(0, np.int64), *taken])[np.argsort(row, kind="stable")], np.bincount(row, minlength=len(parts))
+                on = step > behind[row]
+                rows.append(some[row[on]])
+                taken.append(mixed[on])
+        row = np.concatenate(rows)
+        return *_placed(out, order, sizes), np.concatenate(taken)[np.argsort(row, kind="stable")], np.bincount(row, minlength=len(parts))
 
     def _block(self, symbols: np.ndarray, key: np.ndarray | None, limit: int, forced: np.ndarray | None = None, told: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Merge every row of ``symbols`` to its end, one agenda entry of each row at a time.
@@ -178,6 +236,8 @@ class Vocabulary:
         n, width = symbols.shape
         symbols = symbols.astype(np.int32)
         final = symbols.copy()
+        if limit:
+            key = key.astype(np.uint32)
         if width > 1:
             row, place = np.arange(n), np.tile(np.arange(width, dtype=np.int16), (n, 1))
             agenda = self.ranks(symbols[:, :-1], symbols[:, 1:])
@@ -196,9 +256,9 @@ class Vocabulary:
                     here = here[: len(go)]
                 step += 1
                 if told is not None or limit:
-                    mixed = place[here, at].astype(np.int64) * 40503 + best.astype(np.int64) * 69621
+                    mixed = place[here, at].astype(np.uint32) * np.uint32(40503) + best.astype(np.uint32) * np.uint32(69621)
                 if told is not None:
-                    told.append((row, mixed & 0x3FFFFFFF))
+                    told.append((row, mixed))
                 skip = None
                 if limit:
                     skip = dropped(key[row] + mixed, limit)
@@ -305,25 +365,48 @@ class Vocabulary:
         return b"".join([self.bytes_of[i] for i in ids])[1:].decode(errors="replace")
 
 
+class Numbers(dict):
+    """First nodes of words; a word that is not there gets a number below -1 by its place in ``new``."""
+
+    def __init__(self, front: str, new: list[tuple[Numbers, str]], known: dict[str, int]):
+        super().__init__(known)
+        self.front, self.new = front, new
+
+    def __missing__(self, word: str) -> int:
+        self.new.append((self, word))
+        self[word] = number = -1 - len(self.new)
+        return number
+
+
 class Encoder:
     """Encodes texts, remembering words; one for each task."""
 
     def __init__(self, vocabulary: Vocabulary, seed: int, rate: float):
         self.v, self.seed, self.limit = vocabulary, seed & 0xFFFFFFFF, int(rate * (1 << 30))
-        self.end = array("i", vocabulary.spelled("\n")).tobytes()
-        self.sign = array("i", vocabulary.spelled(BLANK)).tobytes()
+        self.end, self.sign = (np.array(vocabulary.spelled(x), np.int32) for x in ("\n", BLANK))
         self.forget()
 
     def forget(self) -> None:
         #: Words met once so far; first nodes of words, with a blank in front and without.
         self.met: set[str] = set()
-        self.behind: dict[str, int] = {}
-        self.plain: dict[str, int] = {SIGN: 1}
-        #: Of each node: part, steps skipped, pieces. The first two are the line end and the blank's sign.
-        self.parts, self.paths, self.pieces = ["", ""], [(), ()], [self.end, self.sign]
-        self.child: dict[int, int] = {}
+        self.new: list[tuple[Numbers, str]] = []
+        self.behind, self.plain = Numbers(BLANK, self.new, {}), Numbers("", self.new, {SIGN: 1})
+        #: Of each node: part, steps skipped, where its pieces are. The first two are the line end and the blank's sign.
+        self.parts, self.paths = ["", ""], [(), ()]
+        self.flat, self.at, self.size = Grown(np.int32), Grown(np.int64), Grown(np.int64)
         #: Where a node's candidates begin and how many they are, -1 for parts that are merged anew each time.
-        self.begin, self.count, self.taken, self.n_taken = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int64), 0
+        self.begin, self.count = Grown(np.int64), Grown(np.int64)
+        #: Of each candidate: what the hash adds, and the node behind its skipping, -1 where it was never met, -2 where once.
+        self.taken, self.child = Grown(np.uint32), Grown(np.int32)
+        for ids in (self.end, self.sign):
+            self._keep(ids, np.array([0]), np.array([len(ids)]))
+            self.begin.add(np.array([0]))
+            self.count.add(np.array([0]))
+
+    def _keep(self, flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        self.at.add(self.flat.n + begin)
+        self.size.add(size)
+        self.flat.add(flat)
 
     def _lines(self, text: str) -> list[tuple[list[str], list[str]]]:
         """(words without a blank in front, words with one) of each line; a literal sign of the blank ends a line for itself."""
@@ -342,23 +425,16 @@ class Encoder:
 
     def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
         """Each text's pieces as bytes of 32-bit numbers; the keys are the documents'."""
+        ids, edges = self.encoded(texts, keys)
+        return [ids[a:z].tobytes() for a, z in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
+
+    def encoded(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' pieces, one text behind the other, and their edges."""
         if len(self.parts) > REMEMBERED or len(self.met) > 2 * REMEMBERED:
             self.forget()
         docs = [self._lines(t) if t else [] for t in texts]
-        # a word met for the first time, and once, is merged by its own draws; nodes are for words that come again
-        once: list[str] = []
-        passing: list[tuple[dict[str, int], list[str]]] = []
-        for known, front, which in ((self.plain, "", 0), (self.behind, BLANK, 1)):
-            times = Counter(filterfalse(known.__contains__, chain.from_iterable(line[which] for lines in docs for line in lines)))
-            again = sorted(w for w, n in times.items() if n > 1 or front + w in self.met)
-            known.update(zip(again, self._grow([front + w for w in again], [()] * len(again)), strict=True))
-            alone = sorted(times.keys() - set(again))
-            known.update(zip(alone, range(-2 - len(once), -2 - len(once) - len(alone), -1), strict=True))
-            once += [front + w for w in alone]
-            passing.append((known, alone))
-        self.met.update(once)
         out = []
-        for lines, key in zip(docs, keys, strict=True):
+        for lines in docs:
             found: list[int] = []
             for k, (plain, behind) in enumerate(lines):
                 if k:
@@ -370,75 +446,109 @@ class Encoder:
         nodes = np.concatenate([np.zeros(0, np.int64), *out])
         drawn = [word_keys(zlib.crc32(b"%d" % k, self.seed), np.arange(n)) for k, n in zip(keys, size, strict=True)]
         key = np.concatenate([np.zeros(0, np.int64), *drawn])
-        for known, alone in passing:
-            for w in alone:
-                del known[w]
+        # a word met for the first time, and once, is merged by its own draws; nodes are for words that come again
+        new = [d.front + w for d, w in self.new]
         single = np.flatnonzero(nodes < 0)
-        parts = [once[k] for k in (-2 - nodes[single]).tolist()]
-        nodes[single] = 0
-        odd = np.flatnonzero(self.count[nodes] < 0).tolist()
-        if self.limit:
-            for at in range(0, len(nodes), 1 << 15):
-                self._walk(nodes[at : at + (1 << 15)], key[at : at + (1 << 15)])
-        found = list(map(self.pieces.__getitem__, nodes.tolist()))
-        if parts:
-            for k, merged in zip(single.tolist(), self.v.merged_all(parts, key[single].tolist(), self.limit), strict=True):
-                found[k] = merged
+        which = -2 - nodes[single]
+        alone = (np.bincount(which, minlength=len(new)) == 1) & ~np.fromiter(map(self.met.__contains__, new), bool, len(new))
+        first = np.zeros(len(new), np.int64)
+        again = np.flatnonzero(~alone)
+        first[again] = self._grow([new[k] for k in again.tolist()], [()] * len(again))
+        for (known, word), once, node in zip(self.new, alone.tolist(), first.tolist(), strict=True):
+            if once:
+                del known[word]
+            else:
+                known[word] = node
+        self.new.clear()
+        self.met.update(compress(new, alone.tolist()))
+        nodes[single] = first[which]
+        once = alone[which]
+        single = single[once]
+        parts = [new[k] for k in which[once].tolist()]
         if self.limit:
-            for k in odd:
-                found[k] = array("i", self.v.merged(self.parts[nodes[k]], int(key[k]), self.limit)).tobytes()
-        edges = np.cumsum([0, *size]).tolist()
-        return [b"".join(found[a:z]) for a, z in zip(edges, edges[1:], strict=False)]
-
-    def _walk(self, nodes: np.ndarray, key: np.ndarray) -> None:
-        """Lead every word, in place, to the node of its own draws: on to a child where a candidate is skipped."""
-        open_ = np.flatnonzero(self.count[nodes] > 0)
+            # parts merged anew each time, and words whose draws were never met before
+            odd = np.flatnonzero(self.count.all[nodes] < 0)
+            rare = self._walk(nodes, key.astype(np.uint32))
+            parts += [self.parts[k] for k in nodes[odd].tolist()] + [self.parts[k] for k in nodes[rare].tolist()]
+            single = np.concatenate([single, odd, rare])
+        at, n = self.at.all[nodes], self.size.all[nodes]
+        own, at_own, n_own = self.v.merged_flat(parts, key[single], self.limit)
+        at[single], n[single] = self.flat.n + at_own, n_own
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = np.concatenate([self.flat.all[: self.flat.n], own])[np.repeat(at - (ends - n), n) + np.arange(total)]
+        return ids, np.concatenate([[0], ends])[np.cumsum([0, *size])]
+
+    def _walk(self, nodes: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Lead every word, in place, to the node of its own draws: on to a child where a candidate is skipped.
+
+        Where a child was never met, and is met once, no node is made: those words' places are returned.
+        """
+        rare = [np.zeros(0, np.int64)]
+        open_ = np.flatnonzero(self.count.all[nodes] > 0)
         while len(open_):
-            here = nodes[open_]
-            n = self.count[here]
-            ends = np.cumsum(n)
-            nth = np.arange(ends[-1]) - np.repeat(ends - n, n)
-            skip = np.flatnonzero(dropped(np.repeat(key[open_], n) + self.taken[np.repeat(self.begin[here], n) + nth], self.limit))
-            row = np.searchsorted(ends, skip, side="right")
-            first = np.append(True, row[1:] != row[:-1])[: len(row)]
-            row, skip = row[first], skip[first]
-            code, which = np.unique(here[row] << 10 | nth[skip], return_inverse=True)
-            fresh = [c for c in code.tolist() if c not in self.child]
-            above = [c >> 10 for c in fresh]
-            steps = [(*self.paths[a], (self.paths[a][-1] + 1 if self.paths[a] else 0) + (c & 1023)) for a, c in zip(above, fresh, strict=True)]
-            self.child.update(zip(fresh, self._grow([self.parts[a] for a in above], steps), strict=True))
-            open_ = open_[row]
-            nodes[open_] = np.array([self.child[c] for c in code.tolist()], np.int64)[which]
-            open_ = open_[self.count[nodes[open_]] > 0]
+            places, slots = [], []
+            for at in range(0, len(open_), WORDS):
+                some = open_[at : at + WORDS]
+                here = nodes[some]
+                n = self.count.all[here]
+                ends = np.cumsum(n)
+                begin = self.begin.all[here] - (ends - n)
+                mixed = self.taken.all[np.repeat(begin, n) + np.arange(ends[-1])]
+                mixed += np.repeat(key[some], n)
+                skip = np.flatnonzero(dropped(mixed, self.limit))
+                row = np.searchsorted(ends, skip, side="right")
+                first = np.append(True, row[1:] != row[:-1])[: len(row)]
+                row = row[first]
+                places.append(some[row])
+                slots.append(begin[row] + skip[first])
+            open_, slot = np.concatenate(places), np.concatenate(slots)
+            child = self.child.all[slot]
+            new = np.flatnonzero(child < 0)
+            code, which, times = np.unique(slot[new], return_inverse=True, return_counts=True)
+            lone = (times == 1) & (self.child.all[code] == -1)
+            self.child.all[code[lone]] = -2
+            alone = new[lone[which]]
+            rare.append(open_[alone])
+            code, other = code[~lone], new[~lone[which]]
+            if len(code):
+                above = np.zeros(len(times), np.int64)
+                above[which] = nodes[open_[new]]
+                above = above[~lone]
+                nth = (code - self.begin.all[above]).tolist()
+                above = above.tolist()
+                steps = [(*p, p[-1] + 1 + k) if (p := self.paths[a]) else (k,) for a, k in zip(above, nth, strict=True)]
+                self.child.all[code] = self._grow([self.parts[a] for a in above], steps)
+                child[other] = self.child.all[slot[other]]
+            go = np.delete(np.arange(len(open_)), alone)
+            open_ = open_[go]
+            nodes[open_] = child[go]
+            open_ = open_[self.count.all[nodes[open_]] > 0]
+        return np.concatenate(rare)
 
     def _grow(self, parts: list[str], paths: list[tuple[int, ...]]) -> range:
         """New nodes: these parts with these steps skipped."""
-        low = len(self.parts)
-        made = range(low, low + len(parts))
-        while made.stop > len(self.begin):
-            self.begin, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.begin, self.count))
+        made = range(len(self.parts), len(self.parts) + len(parts))
         size = np.array([len(p) for p in parts], np.int64)
         codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.int32)
         unknown = np.bincount(np.repeat(np.arange(len(parts)), size)[self.v.char_ids[codes] < 0], minlength=len(parts))
-        plain = np.flatnonzero((size <= LONG) & (unknown == 0)).tolist()
+        known = (size <= LONG) & (unknown == 0)
+        plain, rest = np.flatnonzero(known), np.flatnonzero(~known)
         self.parts += parts
         self.paths += paths
-        self.pieces += [b""] * len(parts)
-        self.count[low : made.stop] = -1
-        if plain:
-            got, taken, counts = self.v.traced([parts[k] for k in plain], [paths[k] for k in plain])
-            for k, x in zip(plain, got, strict=True):
-                self.pieces[low + k] = x
-            at = low + np.array(plain)
-            self.count[at], self.begin[at] = counts, self.n_taken + np.cumsum(counts) - counts
-            while self.n_taken + len(taken) > len(self.taken):
-                self.taken = np.concatenate([self.taken, np.zeros_like(self.taken)])
-            self.taken[self.n_taken : self.n_taken + len(taken)] = taken
-            self.n_taken += len(taken)
-        if not self.limit:
-            rest = sorted(set(range(len(parts))) - set(plain))
-            for k in rest:
-                self.pieces[low + k] = array("i", self.v.merged(parts[k])).tobytes()
+        begin, sizes, candidates, count = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64), np.full(len(parts), -1)
+        few = parts if len(plain) == len(parts) else [parts[k] for k in plain.tolist()]
+        flat, begin[plain], sizes[plain], taken, count[plain] = self.v.traced(few, paths if few is parts else [paths[k] for k in plain.tolist()])
+        candidates[plain] = self.taken.n + np.cumsum(count[plain]) - count[plain]
+        if not self.limit and len(rest):
+            more, at, sizes[rest] = self.v.merged_flat([parts[k] for k in rest.tolist()], np.zeros(len(rest), np.int64), 0)
+            begin[rest] = len(flat) + at
+            flat = np.concatenate([flat, more])
+        self._keep(flat, begin, sizes)
+        self.begin.add(candidates)
+        self.count.add(count)
+        self.taken.add(taken)
+        self.child.add(np.full(len(taken), -1, np.int32))
         return made
 
     def encode(self, text: str, key: int) -> bytes:
@@ -454,9 +564,8 @@ def encoded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, seed, rate)
         for b in batches:
-            rows = encoder.encode_all(b.column("text").to_pylist(), [-1 if i is None else i for i in b.column("id").to_pylist()])
-            offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+            found, edges = encoder.encoded(b.column("text").to_pylist(), [-1 if i is None else i for i in b.column("id").to_pylist()])
+            ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(found))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), ids], [*kept, "ids"])
 
     bounded_batches(df.sparkSession)
