@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +76,16 @@ def test_shared_folder_with_and_without_a_scheme(spark, tmp_path, monkeypatch, s
 def test_tasks_take_a_path_without_a_scheme_as_local(tmp_path):
     write_bytes(f"{tmp_path}/a b/c%20.txt", b"x")
     assert (tmp_path / "a b/c%20.txt").read_bytes() == b"x" and read_bytes(f"{tmp_path}/a b/c%20.txt") == b"x"
+
+
+def test_rasters_that_lack_pixels_are_annotated(spark, tmp_path):
+    """No embedding, an empty and a short one, and values beyond the range, against the SQL."""
+    lit, table = [0.9] * 64, f"{tmp_path}/embeddings.parquet"
+    rows = [(0, lit), (1, None), (2, []), (3, lit[:20]), (4, [1.5, -2.0, None, *([0.0] * 61)])]
+    spark.createDataFrame([(k, 1, e) for k, e in rows], "vec_id long, label int, embedding array<float>").coalesce(1).write.parquet(table)
+    got = queries.QUERIES["raster_annotate"](spark, str(tmp_path))
+    sql = duckdb.connect()
+    sql.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{table}/*.parquet'")
+    found = sql.execute(queries.ORACLE_SQL["raster_annotate"])
+    names = [c[0] for c in found.description]
+    assert sorted(tuple(r[c] for c in names) for r in got.collect()) == sorted(found.fetchall())

@@ -124,7 +124,9 @@ def q_annotate(spark, d):
 
     def write(part) -> None:
         for r in part:
-            values = np.array(r.pixels, np.uint8).reshape(SIDE, SIDE, 1)
+            values = np.zeros(SIDE * SIDE, np.uint8)  # what a raster lacks is unlit
+            values[: len(r.pixels or [])] = [min(max(v or 0, 0), 255) for v in r.pixels or []]
+            values = values.reshape(SIDE, SIDE, 1)
             write_bytes(f"{base}/run/mask/frame_{r.vec_id:06d}.png", png.encode(np.concatenate([values // 2, values, values // 3], axis=2)))
             write_bytes(f"{base}/run/normal/frame_{r.vec_id:06d}.png", png.encode(np.full((SIDE, SIDE, 3), 90, np.uint8)))
 
